@@ -192,3 +192,37 @@ def upsert(
         .unionByName(target.where(~keyed))
         .unionByName(shaped(source.where(~keyed)))
     )
+
+
+def changed_rows(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    *,
+    null_safe: bool = True,
+    was: Sequence[str] = (),
+) -> DataFrame:
+    """The source rows an ``upsert`` would add or take over.
+
+    ``was`` columns carry the target's old values as ``_was_<name>``: a change
+    may move a row to another partition, and both have to be rewritten.
+    """
+    keys, cols = list(keys), list(cols)
+    old = target.select(*[F.col(c).alias(f"_old_{c}") for c in dict.fromkeys([*keys, *cols, *was])])
+    old = old.withColumn("_old", F.lit(True))
+    new = require_unique(source.select(*keys, *cols), keys)
+    both = new.join(old, all_of(F.col(k) == F.col(f"_old_{k}") for k in keys), "left")
+    return both.where(
+        F.col("_old").isNull() | _changed(cols, "_old_", "", null_safe)
+    ).select(*keys, *cols, *[F.col(f"_old_{c}").alias(f"_was_{c}") for c in was])
+
+
+def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``target`` with the rows of ``changes`` in place of those under the same keys."""
+    replaced = changes.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    kept = target.join(replaced, all_of(F.col(k) == F.col(f"_new_{k}") for k in keys), "left_anti")
+    types = {f.name: f.dataType for f in target.schema.fields}
+    return kept.unionByName(
+        changes.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
+    )

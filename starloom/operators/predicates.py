@@ -16,9 +16,12 @@ def is_null(cols: Iterable[str], how: str = "all") -> Column:
     return combine([F.col(c).isNull() for c in cols], how)
 
 
-def has_value(values: Mapping[str, Any], how: str = "all") -> Column:
+def has_value(
+    values: Mapping[str, Any], how: str = "all", *, as_type: str | None = None
+) -> Column:
     """True where the columns hold the given values; never NULL."""
-    return combine([F.col(c).eqNullSafe(F.lit(v)) for c, v in values.items()], how)
+    read = lambda c: F.col(c).try_cast(as_type) if as_type else F.col(c)
+    return combine([read(c).eqNullSafe(F.lit(v)) for c, v in values.items()], how)
 
 
 def where_null(df: DataFrame, cols: Iterable[str], how: str = "all") -> DataFrame:

@@ -64,13 +64,17 @@ class NullRule(Rule):
 
 @dataclass(frozen=True, kw_only=True)
 class ValueRule(Rule):
-    """Fails where the columns hold a value that stands for "missing"."""
+    """Fails where the columns hold a value that stands for "missing".
+
+    ``as_type`` reads text columns under another type before comparing.
+    """
 
     values: Mapping[str, Any]
     how: str = "all"
+    as_type: str | None = None
 
     def failing(self) -> Column:
-        return has_value(self.values, self.how)
+        return has_value(self.values, self.how, as_type=self.as_type)
 
 
 @dataclass(frozen=True, kw_only=True)

@@ -39,13 +39,21 @@ def records_to_df(
     return spark.createDataFrame(source, schema)
 
 
-def literal_like(df: DataFrame, col: str, value: Any) -> Column:
-    """``value`` as a constant of the column's own type, so filters push down."""
+def mark_value(df: DataFrame, col: str) -> Column:
+    """A mark column as something with an order: ISO text becomes a timestamp."""
+    is_text = isinstance(df.schema[col].dataType, T.StringType)
+    return F.col(col).try_cast("timestamp") if is_text else F.col(col)
+
+
+def mark_literal(df: DataFrame, col: str, value: Any) -> Column:
+    """``value`` as a constant of the mark's own type, so filters push down."""
     kind = df.schema[col].dataType
-    if isinstance(value, (date, datetime)):
-        value = value.isoformat()
-    literal = F.lit(value)
-    return literal if isinstance(kind, T.StringType) else literal.cast(kind)
+    if isinstance(kind, T.StringType):
+        kind = T.TimestampType()
+    if isinstance(kind, T.TimestampType) and isinstance(value, datetime):
+        return F.lit(value)
+    text = value.isoformat() if isinstance(value, (date, datetime)) else value
+    return F.lit(text).cast(kind)
 
 
 def incremental_read(
@@ -61,9 +69,14 @@ def incremental_read(
     ``lookback`` reaches further back to catch late rows of the last period;
     the caller then has to drop rows it holds already.
     """
+    if isinstance(last, str):
+        last = datetime.fromisoformat(last)
     if lookback is not None:
-        last = datetime.fromisoformat(last) - lookback if isinstance(last, str) else last - lookback
-    newer = df.where(F.col(mark_col) > literal_like(df, mark_col, last))
+        last = last - lookback
+    newer = df.where(mark_value(df, mark_col) > mark_literal(df, mark_col, last))
+    if isinstance(df.schema[mark_col].dataType, T.StringType):
+        # Text compares by day without a cast, which the scan can use.
+        newer = newer.where(F.col(mark_col) >= (last - timedelta(days=1)).strftime("%Y-%m-%d"))
     return newer if columns is None else newer.select(*columns)
 
 

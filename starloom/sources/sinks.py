@@ -82,34 +82,41 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     _create(spark, table, schema, partition_by, path)
 
 
-def replace_partitions(df: DataFrame, table: str) -> None:
-    """Replace the partitions ``df`` holds rows of; leave the others untouched."""
+def replace_partitions(df: DataFrame, table: str, touched: DataFrame | None = None) -> None:
+    """Replace some partitions of a table and leave the others as they are.
+
+    These are the partitions ``df`` holds rows of, and any further ones listed
+    in ``touched`` (distinct partition values), which end up empty.
+    """
     spark = df.sparkSession
     keys = partition_columns(spark, table)
     if not keys:
         raise ValueError(f"{table} is not partitioned")
+    schema = spark.table(table).schema
     path = _snapshot_path(spark, table)
-    names = spark.table(table).columns
-    df.select(*names).hint("rebalance", *[F.col(k) for k in keys]).write.partitionBy(*keys).parquet(
-        path
-    )
-    # Answered from folder names; one row per touched partition.
-    values = (
-        spark.read.schema(spark.table(table).schema)
-        .parquet(path)
-        .select(*[F.col(k).cast("string").alias(k) for k in keys])
-        .distinct()
-        .collect()
-    )
-    for row in values:
+    df.select(*schema.names).hint("rebalance", *[F.col(k) for k in keys]).write.partitionBy(
+        *keys
+    ).parquet(path)
+
+    def values(frame: DataFrame) -> set[tuple[str | None, ...]]:
+        """One entry per partition; for files, answered from folder names."""
+        names = [F.col(k).cast("string").alias(k) for k in keys]
+        return {tuple(r) for r in frame.select(*names).distinct().collect()}
+
+    written = values(spark.read.schema(schema).parquet(path))
+    for row in written | (values(touched) if touched is not None else set()):
         spec = ", ".join(
-            f"`{k}` = " + ("NULL" if row[k] is None else f"'{row[k]}'") for k in keys
+            f"`{k}` = " + ("NULL" if v is None else f"'{v}'") for k, v in zip(keys, row)
         )
+        if row not in written:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+            continue
         folder = "/".join(
-            f"{k}=" + ("__HIVE_DEFAULT_PARTITION__" if row[k] is None else row[k]) for k in keys
+            f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(keys, row)
         )
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}/{folder}'")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{path}/{folder}'")
+        where = f"PARTITION ({spec}) {{}} '{path}/{folder}'"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {where.format('LOCATION')}")
+        spark.sql(f"ALTER TABLE {table} {where.format('SET LOCATION')}")
     spark.catalog.refreshTable(table)
 
 

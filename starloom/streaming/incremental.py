@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import not_in
-from starloom.sources.readers import incremental_read, literal_like, stamp_batch
+from starloom.sources.readers import incremental_read, mark_literal, mark_value, stamp_batch
 from starloom.sources.sinks import append, replace_table
 from starloom.streaming.marks import DEFAULT_MARK, empty_marks, get_mark, upsert_mark
 
@@ -39,11 +39,11 @@ def incremental_load(
     marks = spark.table(marks_table) if known else empty_marks(spark)
     last = get_mark(marks, table, default)
     batch = incremental_read(source, mark_col, last, columns, lookback=lookback)
-    top = batch.agg(F.max(mark_col).alias("top"), F.max(mark_col).cast("timestamp").alias("mark"))
-    upper = top.first()
+    value = mark_value(batch, mark_col)
+    upper = batch.agg(F.max(value).alias("top"), F.max(value).cast("timestamp").alias("mark")).first()
     if upper["top"] is None:
         return False
-    batch = batch.where(F.col(mark_col) <= literal_like(batch, mark_col, upper["top"]))
+    batch = batch.where(value <= mark_literal(batch, mark_col, upper["top"]))
     if key and spark.catalog.tableExists(table):
         batch = not_in(batch, spark.table(table), key)
     append(stamp_batch(batch, batch_ts), table)

@@ -12,6 +12,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.sources.readers import mark_value
+
 MARK_SCHEMA = "table_name string, last_watermark timestamp, updated_at timestamp"
 # Fixed value: where loading starts when a source has no mark yet.
 DEFAULT_MARK = datetime(2023, 1, 1)
@@ -35,12 +37,12 @@ def _mark_row(df: DataFrame, value, source: str, now: datetime) -> DataFrame:
 
 def seed_mark(df: DataFrame, col: str, source: str, now: datetime) -> DataFrame:
     """A first mark from data already loaded: midnight of its last day."""
-    return _mark_row(df, F.max(col).cast("date").cast("timestamp"), source, now)
+    return _mark_row(df, F.max(mark_value(df, col)).cast("date").cast("timestamp"), source, now)
 
 
 def next_mark(batch: DataFrame, col: str, source: str, now: datetime) -> DataFrame:
     """The mark after a batch: its largest value."""
-    return _mark_row(batch, F.max(col).cast("timestamp"), source, now)
+    return _mark_row(batch, F.max(mark_value(batch, col)).cast("timestamp"), source, now)
 
 
 def upsert_mark(marks: DataFrame, new: DataFrame) -> DataFrame:
