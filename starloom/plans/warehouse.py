@@ -352,7 +352,7 @@ def crash_model(spark: SparkSession, cfg: CrashWarehouse) -> StarModel:
     scd = {"effective_date", "end_date", "is_current"}
 
     def shown(name: str, prefix: str, hidden=frozenset()) -> dict[str, str]:
-        return {f"{prefix}.{c}": c for c in t(name).columns if c not in hidden}
+        return {f"{prefix}_{c}": c for c in t(name).columns if c not in hidden}
 
     return StarModel(
         fact=t(cfg.fact_street),
