@@ -1,8 +1,13 @@
 """Joins on natural, computed and optional keys.
 
 No side is broadcast by hint here: Catalyst and AQE broadcast a side whose
-measured size is under the session's threshold and shuffle it otherwise, and
-AQE splits a skewed left side of these inner, left, semi and anti joins.
+measured size is under the session's threshold and shuffle it otherwise.
+
+A left key holding a third of all rows is split by AQE's skew join, which cuts
+a reducer by the map tasks that fed it: the cut is the same after a retry and
+works for identical copies too, where a salt computed from the row would not.
+AQE does so for inner, left, semi and anti joins whose sides come straight from
+a shuffle; ``keys_match`` sees to that where a side was just aggregated.
 """
 
 from __future__ import annotations
@@ -18,16 +23,34 @@ from starloom.functions.columns import all_of, column
 from starloom.operators.keys import dedupe
 
 
+def keys_match(
+    left: DataFrame, pairs: Iterable[tuple[str, str]], *, null_safe: bool = False
+) -> Column:
+    """Equality of key columns, for a right side with one row per key.
+
+    The extra hash is implied by the equality.  As a join key it keeps the
+    right side from lending the join the partitioning of its aggregation, with
+    which AQE could not split the left side's hot keys; what is shuffled once
+    more is one row per key.
+    """
+    pairs = list(pairs)
+    kinds = {f.name: f.dataType for f in left.schema.fields}
+    equal = [
+        F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs
+    ]
+    same_hash = F.xxhash64(*[F.col(a) for a, _ in pairs]) == F.xxhash64(
+        *[F.col(b).try_cast(kinds[a]) for a, b in pairs]
+    )
+    return all_of([*equal, same_hash])
+
+
 def not_in(
     new: DataFrame, known: DataFrame, keys: Iterable[str], *, null_safe: bool = False
 ) -> DataFrame:
     """Rows of ``new`` whose keys ``known`` lacks; only distinct keys are joined."""
     keys = list(keys)
     seen = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
-    match = all_of(
-        F.col(k).eqNullSafe(F.col(f"_known_{k}")) if null_safe else F.col(k) == F.col(f"_known_{k}")
-        for k in keys
-    )
+    match = keys_match(new, [(k, f"_known_{k}") for k in keys], null_safe=null_safe)
     return new.join(seen, match, "left_anti")
 
 
@@ -89,7 +112,7 @@ def lookup_default(
     ``order`` decides which one.
     """
     one = dedupe(ref, [key], order).select(F.col(key).alias("_key"), F.col(col).alias("_value"))
-    return df.join(one, F.col(key) == F.col("_key"), "left").select(
+    return df.join(one, keys_match(df, [(key, "_key")]), "left").select(
         *[F.col(c) for c in df.columns],
         F.coalesce("_value", F.lit(default)).alias(out or col),
     )
@@ -98,7 +121,7 @@ def lookup_default(
 def orphan_rows(fact: DataFrame, dim: DataFrame, fk: str, key: str) -> DataFrame:
     """Fact rows whose foreign key is null or missing from the dimension."""
     known = dim.select(F.col(key).alias("_key")).distinct()
-    return fact.join(known, F.col(fk) == F.col("_key"), "left_anti")
+    return fact.join(known, keys_match(fact, [(fk, "_key")]), "left_anti")
 
 
 def orphan_report(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import all_of
+from starloom.operators.joins import keys_match
 from starloom.operators.keys import dedupe, first_per_group
 from starloom.session import reliable_checkpoint
 
@@ -140,6 +141,16 @@ def _boxes(points: DataFrame, level: int, levels: int) -> DataFrame:
     )
 
 
+def _step_down(cells: DataFrame, boxes: DataFrame, bits: int = 0) -> DataFrame:
+    """Replace each place's cells by the boxes inside them, ``bits`` finer."""
+    boxes = boxes.withColumns(
+        {"_up_i": F.shiftright("_i", bits), "_up_j": F.shiftright("_j", bits)}
+    )
+    cells = cells.select("_px", "_py", F.col("_i").alias("_at_i"), F.col("_j").alias("_at_j"))
+    match = keys_match(cells, [("_at_i", "_up_i"), ("_at_j", "_up_j")])
+    return cells.join(boxes, match).drop("_at_i", "_at_j", "_up_i", "_up_j")
+
+
 def _prune(frame: DataFrame, x: Axis, y: Axis) -> DataFrame:
     """Keep, per place, the cells that may hold its nearest reference.
 
@@ -226,18 +237,10 @@ def _hierarchical(left: DataFrame, points: DataFrame, x: Axis, y: Axis) -> DataF
     cells = places.select("_px", "_py", _around(own_i).alias("_i"), own_j.alias("_own_j")).select(
         "_px", "_py", "_i", _around(F.col("_own_j")).alias("_j")
     )
-    cells = _prune(cells.join(_boxes(points, 0, levels), ["_i", "_j"]), x, y)
+    cells = _prune(_step_down(cells, _boxes(points, 0, levels)), x, y)
     for level in range(1, levels + 1):
-        children = _boxes(points, level, levels).withColumns(
-            {
-                "_parent_i": F.shiftright("_i", LEVEL_BITS),
-                "_parent_j": F.shiftright("_j", LEVEL_BITS),
-            }
-        )
-        parents = cells.select(
-            "_px", "_py", F.col("_i").alias("_parent_i"), F.col("_j").alias("_parent_j")
-        )
-        cells = _prune(parents.join(children, ["_parent_i", "_parent_j"]), x, y)
+        boxes = _boxes(points, level, levels)
+        cells = _prune(_step_down(cells, boxes, LEVEL_BITS), x, y)
     candidates = cells.join(
         points, (F.col("_i") == F.col("_fi")) & (F.col("_j") == F.col("_fj"))
     ).where(
@@ -255,12 +258,11 @@ def _hierarchical(left: DataFrame, points: DataFrame, x: Axis, y: Axis) -> DataF
             )
         ).alias("_best")
     )
-    return left.join(
-        best,
-        (F.col(x.left).cast("double") == F.col("_px"))
-        & (F.col(y.left).cast("double") == F.col("_py")),
-        "left",
-    ).select(*left.columns, "_best")
+    rows = left.withColumns(
+        {"_x": F.col(x.left).cast("double"), "_y": F.col(y.left).cast("double")}
+    )
+    match = keys_match(rows, [("_x", "_px"), ("_y", "_py")])
+    return rows.join(best, match, "left").select(*left.columns, "_best")
 
 
 def nearest(
@@ -318,8 +320,20 @@ def fill_from_nearest(
     partitioned by that key does.
     """
     rows = df if one_per is None else dedupe(df, one_per, order)
+    # Only rows without a label take part in the search.
+    missing = F.col(label).isNull()
+    search = rows.withColumns(
+        {"_sx": F.when(missing, F.col(x.left)), "_sy": F.when(missing, F.col(y.left))}
+    )
     found = nearest(
-        rows, refs, x, y, label=ref_label, tie=tie, out="_found", small_refs=small_refs
+        search,
+        refs,
+        Axis("_sx", x.ref, x.radius),
+        Axis("_sy", y.ref, y.radius),
+        label=ref_label,
+        tie=tie,
+        out="_found",
+        small_refs=small_refs,
     )
     parts = [F.col(label), F.col("_found")]
     if default is not None:

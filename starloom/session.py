@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Recording a call site per column expression costs more than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
