@@ -54,7 +54,7 @@ def assign_keys(
     """Number the rows ``start + 1 …`` in ``order`` without gathering them in one task.
 
     A range sort gives each task one slice of the order.  The slice number and
-    the place within it are stored with the rows by a reliable checkpoint, so a
+    the place within it are stored with the rows in the shared folder, so a
     recomputed task cannot renumber them.  Only one count per slice is summed
     up centrally.  ``order`` should be unique: rows that tie share one slice.
     ``start`` is a number or the one-row result of ``max_key``.

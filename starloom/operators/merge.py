@@ -70,8 +70,8 @@ def scd2_merge(
     MERGE: the new version appears in the following run, and every source
     member takes a number, so surrogate keys have gaps.
 
-    Closed history is passed through untouched; the added rows are
-    checkpointed and usually small enough to be broadcast at runtime.
+    Closed history is passed through untouched; the added rows are written
+    once and their size decides how the rows they close are found.
     """
     if reopen not in ("same_run", "next_run"):
         raise ValueError(f"reopen must be 'same_run' or 'next_run', not {reopen!r}")

@@ -20,7 +20,7 @@ from starloom.operators.keys import dedupe, first_per_group
 from starloom.session import reliable_checkpoint
 
 # Reference sets up to this size may be broadcast as lists per grid cell …
-SMALL_REFS = 100_000
+SMALL_REFS = 20_000
 # … as long as no cell neighbourhood holds more candidates than this.
 SMALL_CELL = 256
 # Larger sets are searched through a hierarchy of grids; each level splits a

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.functions.geo import flatten_features
-from starloom.operators.nearest import Axis, fill_from_nearest, nearest
+from starloom.operators.nearest import Axis, band_join, fill_from_nearest, nearest
 from starloom.plans.queries.inputs import DIRTY_CUSTOMER, dirty_customer
 from starloom.plans.registry import query, table
 
@@ -65,6 +65,21 @@ def _(spark, sf):
     ).select("s_suppkey", "nearest", F.round("distance", 6).alias("distance"))
 
 
+@query(
+    "band_join",
+    """
+    WITH levels AS (SELECT DISTINCT CAST(FLOOR(value) AS DOUBLE) AS level FROM events)
+    SELECT event_id, value, level FROM events LEFT JOIN levels
+      ON ABS(value - level) < 0.75
+    """,
+)
+def _(spark, sf):
+    """Events with the whole values near theirs: two at most, by construction."""
+    events = table(spark, sf, "events").select("event_id", "value")
+    levels = events.select(F.floor("value").cast("double").alias("level")).distinct()
+    return band_join(events, levels, [Axis("value", "level", 0.75)])
+
+
 @query(
     "geo_flatten",
     """
