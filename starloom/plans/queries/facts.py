@@ -8,7 +8,7 @@ from starloom.functions.columns import concat_key, normalise_text
 from starloom.operators.dates import date_dim
 from starloom.operators.joins import Lookup, lookup_default, orphan_report, resolve_keys, star_join
 from starloom.operators.keys import assign_keys
-from starloom.operators.merge import upsert
+from starloom.operators.merge import apply_changes, changed_rows, upsert
 from starloom.operators.predicates import where_since
 from starloom.plans.queries.inputs import moment
 from starloom.plans.registry import query, table
@@ -142,7 +142,7 @@ def _(spark, sf):
 _FACT_COLUMNS = ["o_custkey", "o_orderstatus", "o_totalprice"]
 
 
-def _upserted(spark, sf, null_safe):
+def _stored_and_load(spark, sf):
     """Orders before 1999 stored; a later load of 1997 on with corrections."""
     orders = table(spark, sf, "orders")
     stored = orders.where(F.col("o_orderdate") < moment("1999-01-01 00:00:00")).select(
@@ -159,7 +159,7 @@ def _upserted(spark, sf, null_safe):
         .otherwise(F.col("o_totalprice"))
         .alias("o_totalprice"),
     )
-    return upsert(stored, load, ["o_orderkey"], _FACT_COLUMNS, null_safe=null_safe)
+    return stored, load
 
 
 def _upsert_sql(changed: str) -> str:
@@ -180,12 +180,12 @@ def _upsert_sql(changed: str) -> str:
     """
 
 
-@query(
-    "fact_upsert",
-    _upsert_sql(" OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in _FACT_COLUMNS).join("()")),
-)
+_DISTINCT = "(" + " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in _FACT_COLUMNS) + ")"
+
+
+@query("fact_upsert", _upsert_sql(_DISTINCT))
 def _(spark, sf):
-    return _upserted(spark, sf, null_safe=True)
+    return upsert(*_stored_and_load(spark, sf), ["o_orderkey"], _FACT_COLUMNS)
 
 
 @query(
@@ -195,4 +195,27 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return _upserted(spark, sf, null_safe=False)
+    return upsert(
+        *_stored_and_load(spark, sf), ["o_orderkey"], _FACT_COLUMNS, null_safe=False
+    )
+
+
+@query(
+    "fact_changes",
+    _upsert_sql(_DISTINCT).split("SELECT COALESCE(t.")[0]
+    + f"""
+    SELECT s.*, t.o_orderstatus AS _was_o_orderstatus FROM s LEFT JOIN t USING (o_orderkey)
+    WHERE t.o_orderkey IS NULL OR {_DISTINCT}
+    """,
+)
+def _(spark, sf):
+    return changed_rows(
+        *_stored_and_load(spark, sf), ["o_orderkey"], _FACT_COLUMNS, was=["o_orderstatus"]
+    )
+
+
+@query("fact_apply_changes", _upsert_sql(_DISTINCT))
+def _(spark, sf):
+    stored, load = _stored_and_load(spark, sf)
+    changes = changed_rows(stored, load, ["o_orderkey"], _FACT_COLUMNS)
+    return apply_changes(stored, changes, ["o_orderkey"])

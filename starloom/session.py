@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,11 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="starloom-checkpoint-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder intermediate tables go to: the session's ``spark.checkpoint.dir``.
 
@@ -42,12 +48,11 @@ def shared_folder(spark: SparkSession) -> str:
     elsewhere could not read it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="starloom-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:

@@ -15,6 +15,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Characters Spark writes as %XX in partition folder names.
+_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
+
+
+def _folder(value: str | None) -> str:
+    if value is None or value == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _snapshot_path(spark: SparkSession, table: str) -> str:
     root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     full = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
@@ -106,17 +121,15 @@ def replace_partitions(df: DataFrame, table: str, touched: DataFrame | None = No
     written = values(spark.read.schema(schema).parquet(path))
     for row in written | (values(touched) if touched is not None else set()):
         spec = ", ".join(
-            f"`{k}` = " + ("NULL" if v is None else f"'{v}'") for k, v in zip(keys, row)
+            f"`{k}` = " + ("NULL" if v is None else _literal(v)) for k, v in zip(keys, row)
         )
         if row not in written:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
             continue
-        folder = "/".join(
-            f"{k}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for k, v in zip(keys, row)
-        )
-        where = f"PARTITION ({spec}) {{}} '{path}/{folder}'"
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {where.format('LOCATION')}")
-        spark.sql(f"ALTER TABLE {table} {where.format('SET LOCATION')}")
+        folder = "/".join(f"{k}={_folder(v)}" for k, v in zip(keys, row))
+        place = _literal(f"{path}/{folder}")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {place}")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {place}")
     spark.catalog.refreshTable(table)
 
 

@@ -59,6 +59,14 @@ def test_replace_some_partitions(spark, rows, db):
     assert untouched < set(spark.table("t").inputFiles())
 
 
+def test_replace_partitions_with_awkward_names(spark, rows, db):
+    names = ["a b", "x/y=z", "50%:'q'", "back\\slash", None]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "p string, v int")
+    replace_table(df, "t", ["p"])
+    replace_partitions(df.selectExpr("p", "v + 10 as v"), "t")
+    assert rows(spark.table("t"), "p", "v") == rows(df.selectExpr("p", "v + 10"))
+
+
 def test_replace_partitions_by_date(spark, rows, db):
     df = spark.createDataFrame([("a", date(2024, 1, 1)), ("b", date(2024, 2, 1))], "k string, m date")
     replace_table(df, "t", ["m"])

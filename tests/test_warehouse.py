@@ -165,3 +165,12 @@ def test_one_missing_coordinate_can_be_logged(spark, db):
     run_pipeline(crashes(spark), cfg, DAY1)
     logged = spark.table(cfg.log).where("error_type = 'NULL_CHECK'")
     assert sorted(r.collision_id for r in logged.collect()) == ["5", "6"]
+
+
+def test_empty_source(spark, db):
+    cfg = config(spark)
+    assert run_pipeline(crashes(spark, []), cfg, DAY1) is False
+    for name in (cfg.bronze, cfg.log, cfg.silver, cfg.dim_location, cfg.fact):
+        assert spark.table(name).isEmpty()
+    assert run_pipeline(crashes(spark), cfg, DAY2) is True
+    assert spark.table(cfg.fact).count() == 5
