@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import concat_key, normalise_text
@@ -83,7 +85,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Facts since a date without a dimension key, with what the dimension says."""
-    since = where_since(_resolved(spark, sf), "o_orderdate", _date(1999, 7, 11))
+    since = where_since(_resolved(spark, sf), "o_orderdate", date(1999, 7, 11))
     return star_join(
         since.where("customer_key is null").select("o_orderkey", "o_custkey", "o_orderdate"),
         [
@@ -97,18 +99,13 @@ def _(spark, sf):
     )
 
 
-def _date(*parts):
-    from datetime import date
-
-    return date(*parts)
-
-
 @query(
     "lookup_default",
     """
     SELECT o_orderkey, COALESCE(l_returnflag, 'Unknown') AS returnflag FROM orders
     LEFT JOIN (SELECT l_orderkey, l_returnflag, ROW_NUMBER() OVER (
-                   PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+                   PARTITION BY l_orderkey
+                   ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_returnflag) AS rn
                FROM lineitem)
       ON l_orderkey = o_orderkey AND rn = 1
     """,
@@ -121,7 +118,7 @@ def _(spark, sf):
         "o_orderkey",
         "l_returnflag",
         "Unknown",
-        order=["l_linenumber", "l_partkey", "l_suppkey"],
+        order=["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"],
         out="returnflag",
     )
 

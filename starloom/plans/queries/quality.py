@@ -149,6 +149,7 @@ _RULES = [
         keys=("l_orderkey", "l_linenumber"),
     ),
 ]
+_PICK = ["l_partkey", "l_suppkey", "l_shipdate", "l_discount", "l_tax"]
 _NOW = "2025-07-04 12:00:00"
 _EARLIER = "l_shipdate < timestamp_ntz'1998-01-01 00:00:00'"
 
@@ -229,7 +230,8 @@ def _(spark, sf):
     f"""
     WITH {DIRTY_LINEITEM}, ranked AS (
         SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+            PARTITION BY l_orderkey, l_linenumber
+            ORDER BY l_partkey, l_suppkey, l_shipdate, l_discount, l_tax) AS rn
         FROM dirty
         WHERE l_returnflag IS NOT NULL AND l_quantity IS NOT NULL
           AND l_discount <> 0 AND l_tax <> 0)
@@ -248,7 +250,7 @@ def _(spark, sf):
             required=["l_returnflag", "l_quantity"],
             sentinels={"l_discount": 0.0, "l_tax": 0.0},
             dedupe_keys=["l_orderkey", "l_linenumber"],
-            dedupe_order=["l_partkey", "l_suppkey"],
+            dedupe_order=_PICK,
             defaults={"l_linestatus": "Unknown"},
         ),
     )
@@ -260,11 +262,12 @@ def _(spark, sf):
     WITH {DIRTY_LINEITEM}
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+            PARTITION BY l_orderkey, l_linenumber
+            ORDER BY l_partkey, l_suppkey, l_shipdate, l_discount, l_tax) AS rn
         FROM dirty
         WHERE l_returnflag IS NOT NULL AND NOT (l_discount = 0 AND l_tax = 0))
     WHERE rn = 1
     """,
 )
 def _(spark, sf):
-    return drop_failing(dirty_lineitem(spark, sf), _RULES, order=["l_partkey", "l_suppkey"])
+    return drop_failing(dirty_lineitem(spark, sf), _RULES, order=_PICK)

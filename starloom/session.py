@@ -21,6 +21,12 @@ SESSION_CONF = {
 }
 
 
+def shuffle_partitions(shuffled_bytes: int, target: int = 256 << 20, limit: int = 50_000) -> int:
+    """Partitions for a shuffle of that size: ``target`` bytes each, as AQE may
+    only merge them; beyond ``limit`` they grow instead and may spill."""
+    return max(1, min(limit, -(-shuffled_bytes // target)))
+
+
 def build_session(app: str = "starloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect.
 

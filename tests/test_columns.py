@@ -30,6 +30,7 @@ from starloom.operators.predicates import (
     where_value,
 )
 from starloom.operators.profile import count_by, distinct_by, null_profile, numeric_profile, row_count
+from starloom.session import shuffle_partitions
 
 CASTS = {"n": "int", "clock": clock_text, "day": iso_date}
 
@@ -159,3 +160,7 @@ def test_where_null_reaches_the_scan(spark, tmp_path):
     plan = where_null(spark.read.parquet(str(tmp_path / "p")), ["lat"]).select("id")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "IsNull(lat)" in text and "lon" not in text.split("ReadSchema")[1]
+
+
+def test_shuffle_partitions():
+    assert [shuffle_partitions(n) for n in (0, 1, 256 << 20, 10 << 40, 100 << 40)] == [1, 1, 1, 40960, 50_000]
