@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.columns import column
 from starloom.session import reliable_checkpoint
@@ -56,10 +57,13 @@ def assign_keys(
     A range sort gives each task one slice of the order.  The slice number and
     the place within it are stored with the rows in the shared folder, so a
     recomputed task cannot renumber them.  Only one count per slice is summed
-    up centrally.  ``order`` should be unique: rows that tie share one slice.
-    ``start`` is a number or the one-row result of ``max_key``.
+    up centrally.  ``start`` is a number or the one-row result of ``max_key``.
+
+    Rows that tie in ``order`` are told apart by their other columns, so that
+    they are numbered alike every time and need not share a slice.
     """
-    placed = df.orderBy(*[column(o) for o in order]).withColumn(
+    ties = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    placed = df.orderBy(*[column(o) for o in order], *ties).withColumn(
         "_place", F.monotonically_increasing_id()
     )
     placed = reliable_checkpoint(placed)

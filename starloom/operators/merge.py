@@ -209,13 +209,23 @@ def changed_rows(
     may move a row to another partition, and both have to be rewritten.
     """
     keys, cols = list(keys), list(cols)
+    source = source.select(*keys, *cols)
+    keyed = all_of(F.col(k).isNotNull() for k in keys)
+    carried = [F.col(f"_old_{c}").alias(f"_was_{c}") for c in was]
+
     old = target.select(*[F.col(c).alias(f"_old_{c}") for c in dict.fromkeys([*keys, *cols, *was])])
     old = old.withColumn("_old", F.lit(True))
-    new = require_unique(source.select(*keys, *cols), keys)
+    new = require_unique(source.where(keyed), keys)
     both = new.join(old, all_of(F.col(k) == F.col(f"_old_{k}") for k in keys), "left")
-    return both.where(
-        F.col("_old").isNull() | _changed(cols, "_old_", "", null_safe)
-    ).select(*keys, *cols, *[F.col(f"_old_{c}").alias(f"_was_{c}") for c in was])
+    changed = both.where(F.col("_old").isNull() | _changed(cols, "_old_", "", null_safe)).select(
+        *keys, *cols, *carried
+    )
+    # As in upsert, rows with a NULL key match nothing and skip the join.
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    unkeyed = source.where(~keyed).withColumns(
+        {f"_was_{c}": F.lit(None).cast(kinds[c]) for c in was}
+    )
+    return changed.unionByName(unkeyed)
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -55,6 +55,9 @@ def where_since(df: DataFrame, col: str, day: date) -> DataFrame:
     kind = df.schema[col].dataType.simpleString()
     if kind in ("timestamp", "timestamp_ntz"):
         start = F.lit(datetime.combine(day, time.min).isoformat(sep=" ")).cast(kind)
+    elif kind == "string":
+        # ISO text sorts by date.
+        start = F.lit(day.isoformat())
     else:
         start = F.lit(day)
     return df.where(F.col(col) >= start)

@@ -83,6 +83,8 @@ def test_where_since_filters_the_bare_column(spark, rows):
         [(datetime(2025, 7, 10, 23, 59),), (datetime(2025, 7, 11),)], "ts timestamp"
     )
     assert where_since(df, "ts", date(2025, 7, 11)).count() == 1
+    text = spark.createDataFrame([("2025-07-10T23:59:59",), ("2025-07-11T00:00:00",)], "t string")
+    assert rows(where_since(text, "t", date(2025, 7, 11))) == [("2025-07-11T00:00:00",)]
     days = spark.createDataFrame([(date(2025, 7, 10),), (date(2025, 7, 11),)], "d date")
     assert rows(where_since(days, "d", date(2025, 7, 11))) == [(date(2025, 7, 11),)]
 

@@ -25,6 +25,14 @@ def test_assign_keys_equals_global_row_number(spark):
     assert got == {v: i + 11 for i, v in enumerate(sorted(got))}
 
 
+def test_ties_are_numbered_alike(spark, rows):
+    df = spark.range(4000).selectExpr("0 as v", "id", "array(id) as a")
+    keyed = assign_keys(df.repartition(5), ["v"])
+    assert rows(keyed.where("surrogate_key <> id + 1")) == []
+    again = assign_keys(df.repartition(3, "id"), ["v"])
+    assert again.exceptAll(keyed).isEmpty()
+
+
 def test_assign_keys_of_nothing_and_from_max(spark, rows):
     empty = spark.createDataFrame([], "k string")
     assert assign_keys(empty, ["k"]).count() == 0

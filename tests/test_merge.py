@@ -108,8 +108,8 @@ def test_upsert_rejects_repeated_keys(spark):
 
 @pytest.mark.parametrize("null_safe", [True, False])
 def test_changes_applied_equal_upsert(spark, rows, null_safe):
-    stored = fact(spark, *[(str(i), i % 7 or None, i % 3) for i in range(200)])
-    load = fact(spark, *[(str(i), i % 5 or None, i % 3) for i in range(100, 300)])
+    stored = fact(spark, *[(str(i), i % 7 or None, i % 3) for i in range(200)], (None, 1, 1))
+    load = fact(spark, *[(str(i), i % 5 or None, i % 3) for i in range(100, 300)], (None, 1, 1), (None, 2, 2))
     changes = changed_rows(stored, load, ["id"], ["a", "b"], null_safe=null_safe, was=["b"])
     assert changes.columns == ["id", "a", "b", "_was_b"]
     expected = rows(upsert(stored, load, ["id"], ["a", "b"], null_safe=null_safe))
