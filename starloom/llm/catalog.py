@@ -1,6 +1,13 @@
 """All registered queries of this subpackage; importing it registers them."""
 
-from starloom.llm import bpe, decontaminate, licenses, near_dedup  # noqa: F401
+from starloom.llm import (  # noqa: F401
+    bpe,
+    decontaminate,
+    licenses,
+    near_dedup,
+    pack,
+    wordpiece,
+)
 from starloom.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
