@@ -6,6 +6,7 @@ from starloom.llm import (  # noqa: F401
     licenses,
     near_dedup,
     pack,
+    quality_rules,
     warc,
     wordpiece,
 )

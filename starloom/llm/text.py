@@ -48,6 +48,8 @@ def constants(n: int, seed: int) -> np.ndarray:
 
 
 _BYTE = constants(256, 11) * ~SEPARATOR  # separators add nothing to a word's sum
+_LINE_BYTE = constants(256, 13)
+_LINE_BYTE[10] = 0
 _BASE = int(constants(1, 12)[0]) | 1
 _POWER = np.ones(BLOCK, np.uint64)
 _POWER[1:] = _BASE
@@ -90,18 +92,25 @@ class Words:
     hashes: np.ndarray
     first: np.ndarray
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all runs of ``n`` words within a text, and per text where its runs begin."""
+    def places(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words of all runs of ``n`` words within a text, and where each text's runs begin."""
         counts = np.maximum(np.diff(self.first) - n + 1, 0)
         begins = np.concatenate(([0], np.cumsum(counts)))
-        at = np.arange(begins[-1]) + np.repeat(self.first[:-1] - begins[:-1], counts)
+        return np.arange(begins[-1]) + np.repeat(self.first[:-1] - begins[:-1], counts), begins
+
+    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of these runs, and where each text's runs begin."""
+        at, begins = self.places(n)
         total = np.zeros(len(at), np.uint64)
         for k, c in enumerate(constants(n, 100 + n)):
             total += self.hashes[at + k] * (c | np.uint64(1))
         return mix(total), begins
 
 
-def _hash_runs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_runs(
+    raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values_of: np.ndarray = _BYTE
+) -> np.ndarray:
+    """Hashes of non-empty byte runs; bytes between them must have the value 0."""
     out = np.zeros(len(starts), np.uint64)
     i = 0
     while i < len(starts):
@@ -112,7 +121,7 @@ def _hash_runs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
             i += 1
             continue
         j = int(np.searchsorted(ends, s + BLOCK, side="right"))
-        values = _BYTE[raw[s : ends[j - 1]]]
+        values = values_of[raw[s : ends[j - 1]]]
         values *= _POWER[: len(values)]
         at = starts[i:j] - s
         out[i:j] = np.add.reduceat(values, at) * _INVERSE[at]
@@ -135,10 +144,63 @@ def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     after[:-1] = inside[1:]
     after[cuts - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
-    hashes = _hash_runs(raw, starts, ends) if n else np.zeros(0, np.uint64)
+    hashes = hash_runs(raw, starts, ends) if n else np.zeros(0, np.uint64)
     return Words(starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
+@dataclass
+class Lines:
+    """Lines (between ``\\n``) that have a word: byte places, hashes, and each text's first line."""
+
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+    first_word: np.ndarray
+    n_words: np.ndarray
+
+
+def lines(raw: np.ndarray, offsets: np.ndarray, w: Words) -> Lines:
+    """The texts' lines; ``w`` are their words."""
+    breaks = np.flatnonzero(raw == 10)
+    starts = np.unique(np.concatenate((offsets[:-1], breaks + 1)))
+    starts = starts[starts < len(raw)]
+    ends = np.minimum(
+        np.append(breaks, len(raw))[np.searchsorted(breaks, starts)],
+        offsets[np.searchsorted(offsets, starts, side="right")],
+    ) if len(starts) else starts
+    some = ends > starts
+    starts, ends = starts[some], ends[some]
+    hashes = hash_runs(raw, starts, ends, _LINE_BYTE) if len(starts) else np.zeros(0, np.uint64)
+    first_word = np.searchsorted(w.starts, starts)
+    n_words = np.searchsorted(w.starts, ends) - first_word
+    full = n_words > 0
+    starts, ends, hashes = starts[full], ends[full], hashes[full]
+    return Lines(
+        starts, ends, hashes, np.searchsorted(starts, offsets), first_word[full], n_words[full]
+    )
+
+
+def owner(first: np.ndarray) -> np.ndarray:
+    """For each word (or line) the number of its text."""
+    return np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+
+def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of a per-byte (or per-word) array over each text."""
+    total = np.concatenate(([0], np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else np.int64)))
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def repeats(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which elements occur twice or more in their text, and which are no first occurrence."""
+    keys = hashes ^ mix(text.astype(np.uint64) * _ODD + np.uint64(5))
+    _, one, which, n = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    again = np.ones(len(keys), bool)
+    again[one] = False
+    return n[which] > 1, again
+
+
 def shingle_sets(w: Words, n: int) -> list[np.ndarray]:
     """Per text its distinct ``n``-word shingles, ascending; a text with fewer
     words has its whole sequence as the only one, a text without words none."""
