@@ -9,10 +9,9 @@ sets then agree in a bin with a chance equal to their Jaccard similarity.
 ``BANDS`` bands of ``ROWS`` bins each: a pair at similarity 0.85 shares no
 bucket with a chance of (1 - 0.85**6)**48 = 1.4e-10, one at 0.3 shares some with
 3.4 %. Equal sets are one class from the start. Within a bucket every class is
-paired with the smallest one only. Pairs that this may leave out (both in a
-bucket, not yet in one component) are paired in a second round, so no link
-depends on the choice of the centre; it sees only buckets whose members ended
-up in different components, which unlike texts seldom share.
+paired with the smallest one only. Pairs that this may leave out, both in a
+bucket and not yet in one component, are looked for by ``_left_out``, so no link
+depends on the choice of the centre and no group is paired off as a whole.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
@@ -116,13 +115,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough, each class by its document."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = reliable_checkpoint(
-        docs.join(nodes, "doc_id", "left_semi")
-        .mapInArrow(_sets, "node bigint, shingles array<bigint>")
-    )
     left = pairs.join(sets.toDF("a", "set_a"), "a")
     both = left.join(sets.toDF("b", "set_b"), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -166,11 +160,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select(F.col("centre").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    links = reliable_checkpoint(_verified(docs, stars))
+    nodes = members.select(F.col("node").alias("doc_id")).distinct()
+    # Merged whatever the size, so that the work grows evenly with the input.
+    sets = reliable_checkpoint(
+        docs.join(nodes.hint("merge"), "doc_id", "left_semi")
+        .mapInArrow(_sets, "node bigint, shingles array<bigint>")
+    )
+    links = reliable_checkpoint(_verified(sets, stars))
     found = reliable_checkpoint(components(links))
-    rest = reliable_checkpoint(_left_out(members, found, stars))
+    rest = reliable_checkpoint(_left_out(members, found, sets))
     if not rest.isEmpty():
-        links = links.union(_verified(docs, rest))
+        links = links.union(_verified(sets, rest))
         found = reliable_checkpoint(components(links))
     owner = reliable_checkpoint(
         classes.select("set_digest", "node")
@@ -189,8 +189,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def _left_out(members: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are in different components and were not yet compared."""
+def _left_out(members: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs in different components that may be similar enough, by prefix filter.
+
+    It looks at the classes of buckets that still hold several components, for
+    instance thousands of copies that are each a little too far from the
+    others. Shingles are put in order of rarity among them. With ``|a| <= |b|``
+    a linked pair shares at least ``170/185 |a|`` and ``85/100 |b|`` shingles, so
+    the rarest ``|a| - ceil(170/185 |a|) + 1`` of ``a`` and the rarest ``|b| -
+    ceil(85/100 |b|) + 1`` of ``b`` have one in common. Edits make rare
+    shingles, so texts that differ by more do not meet: no link is lost, and
+    no group is paired off as a whole.
+    """
     placed = members.join(found, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
@@ -200,15 +210,30 @@ def _left_out(members: DataFrame, found: DataFrame, tried: DataFrame) -> DataFra
         .where("lo < hi and n > 2")
         .select("bucket")
     )
-    open_ = reliable_checkpoint(placed.join(mixed, "bucket"))
-    a = open_.toDF("bucket", "a", "component_a")
-    b = open_.toDF("bucket", "b", "component_b")
+    open_ = placed.join(mixed, "bucket").select("node", "component").distinct()
+    own = reliable_checkpoint(
+        open_.join(sets, "node").select(
+            "node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s")
+        )
+    )
+    often = reliable_checkpoint(own.groupBy("s").agg(F.count("*").alias("often")))
+    ranked = own.join(often, "s").withColumn(
+        "place", F.row_number().over(Window.partitionBy("node").orderBy("often", "s"))
+    )
+    prefix = reliable_checkpoint(
+        ranked.where(f"place <= n - ceil({SHARE} * n / 100) + 1 and often > 1")
+    )
+    a = prefix.where(f"place <= n - ceil({2 * SHARE} * n / {100 + SHARE}) + 1")
+    side = ["s", "node", "n", "component", "place"]
+    a = a.select(side).toDF("s", "a", "n_a", "c_a", "at_a")
+    b = prefix.select(side).toDF("s", "b", "n_b", "c_b", "at_b")
+    need = f"ceil({SHARE} * (n_a + n_b) / {100 + SHARE})"
     return (
-        a.join(b, "bucket")
-        .where("a < b and component_a <> component_b")
+        a.join(b, "s")
+        .where(f"c_a <> c_b and 100 * n_a >= {SHARE} * n_b and (n_a < n_b or n_a = n_b and a < b)")
+        .where(f"at_a <= n_a - {need} + 1 and at_b <= n_b - {need} + 1")
         .select("a", "b")
         .distinct()
-        .join(tried, ["a", "b"], "left_anti")
     )
 
 
