@@ -7,6 +7,7 @@ from starloom.llm import (  # noqa: F401
     near_dedup,
     pack,
     quality_rules,
+    secrets,
     warc,
     wordpiece,
 )
