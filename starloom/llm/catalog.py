@@ -4,6 +4,7 @@ from starloom.llm import (  # noqa: F401
     bpe,
     decontaminate,
     licenses,
+    line_crf,
     near_dedup,
     pack,
     quality_rules,
