@@ -3,10 +3,11 @@
 See ``containment``. Templates are notices and grants; a document carries a
 licence when it has at least 80 % of a template's five-word shingles. Windows
 of a document overlap by half, those of a template begin at every shingle: a
-stretch of six shared shingles (three for small templates) holds a window of
+stretch of five shared shingles, which a match always has, holds a window of
 each that are equal and collide in every band. Where an edit falls into all
 windows, ``b`` bands still collide with a chance of ``1 - (1 - J)**b`` for a
-window pair of similarity ``J``: 94 % at 0.6 with three.
+window pair of similarity ``J``: 94 % at 0.6 with three. Templates of under seven
+shingles have windows of one.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from starloom.llm.containment import Partition, contained
 from starloom.llm.registry import query, table
 
-PLAN = (Partition(3, 2, 1, 3), Partition(7, 4, 2, 3))
+PLAN = (Partition(7, 4, 2, 3),)
 
 #: Notices and grants of common licences, in their own words.
 TEMPLATES = (
