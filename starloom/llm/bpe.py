@@ -32,7 +32,7 @@ from starloom.llm.registry import query, table
 from starloom.llm.text import slices
 from starloom.llm.vocab import ByteVocab, byte_vocab
 
-LEAF_CHARS = 8192
+LEAF_CHARS = 16384
 WINDOW = 512  # bytes on each side of a join, at first
 MARGIN = 64  # bytes; more is added for special tokens
 
@@ -94,13 +94,18 @@ def _id_lists(lists: list[np.ndarray]) -> pa.Array:
 
 
 def _encoded(
-    batches: Iterator[pa.RecordBatch], path: str, column: str, out: str
+    batches: Iterator[pa.RecordBatch], path: str, column: str, out: str, keep: bool = True
 ) -> Iterator[pa.RecordBatch]:
+    """Ids of the texts, and the texts if ``keep``, else NULL in their place."""
     vocab = byte_vocab(path)
     for batch in batches:
         for part in slices(batch, column):
             ids = _id_lists([vocab.encode(t or "") for t in part.column(column).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
+            columns = [
+                part.column(c) if keep or c != column else pa.nulls(part.num_rows, pa.string())
+                for c in part.schema.names
+            ]
+            yield pa.RecordBatch.from_arrays([*columns, ids], [*part.schema.names, out])
 
 
 def _cut(
@@ -124,15 +129,14 @@ def _cut(
 
 
 def _joined(group: pa.Table, path: str, column: str, out: str, names: list[str]) -> pa.Table:
+    """A text's row from its pieces, whose texts are what their ids spell."""
     vocab = byte_vocab(path)
     group = group.sort_by("__bpe_at").combine_chunks()
-    texts = group.column(column).to_pylist()
     ids = group.column(out).combine_chunks()
     flat = ids.flatten().to_numpy()
     begins = np.concatenate(([0], np.cumsum(ids.value_lengths().to_numpy())))
-    pieces = [
-        (t.encode(), flat[begins[k] : begins[k + 1]].astype(np.uint32)) for k, t in enumerate(texts)
-    ]
+    parts = [flat[a:b].astype(np.uint32) for a, b in zip(begins[:-1], begins[1:], strict=True)]
+    pieces = [(vocab.core.decode_bytes(p.tolist()), p) for p in parts]
     text, whole = join_tree(vocab, pieces)
     row = group.slice(0, 1)
     columns = [
@@ -168,7 +172,8 @@ def encode(
         T.StructType([*schema, key, at]),
     ).repartition("__bpe_row", "__bpe_at")
     leaves = pieces.mapInArrow(
-        partial(_encoded, path=path, column=column, out=out), T.StructType([*schema, key, at, ids])
+        partial(_encoded, path=path, column=column, out=out, keep=False),
+        T.StructType([*schema, key, at, ids]),
     )
     names = [*docs.columns, out]
 
