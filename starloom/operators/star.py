@@ -36,6 +36,19 @@ def dimension_members(
     return first_per_group(rows, [key_expr(F.col(k)) for k in keys], order)
 
 
+#: Facts per key combination from which grouping before a join pays.
+REDUCTION = 8
+
+
+def worth_grouping(fact: DataFrame, keys: Sequence[str], factor: int = REDUCTION) -> bool:
+    """Whether there are at least ``factor`` facts per combination of ``keys``, by an
+    approximate distinct count; one pass over these columns, one row to the driver."""
+    n, groups = fact.agg(
+        F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(*keys), 0.05)
+    ).first()
+    return n >= factor * max(groups, 1)
+
+
 def star_report(
     fact: DataFrame,
     lookups: Sequence[Lookup],
@@ -47,10 +60,11 @@ def star_report(
 ) -> DataFrame:
     """Fact rows counted by dimension columns.
 
-    Dimensions named in ``large`` may be too big to broadcast.  The facts are
-    therefore counted per remaining key before those joins: what is shuffled is
-    one row per key combination, and a key held by a third of the facts weighs
-    no more than any other.
+    Dimensions named in ``large`` may be too big to broadcast.  Before they are
+    joined the facts are counted per remaining key if that makes them much
+    fewer (see ``worth_grouping``): then what is shuffled is a row per key
+    combination.  Otherwise facts are joined as they are, hot keys being left
+    to the skew join.
     """
     out = star_join(fact, lookups)
     if large:
@@ -60,7 +74,10 @@ def star_report(
         if None in keys:
             raise ValueError("a large lookup must match on plain fact columns")
         kept = list(dict.fromkeys([c for c in by if c not in taken] + keys))
-        out = out.groupBy(*kept).agg(F.count(F.lit(1)).alias("_rows"))
+        if worth_grouping(out, kept):
+            out = out.groupBy(*kept).agg(F.count(F.lit(1)).alias("_rows"))
+        else:
+            out = out.select(*kept).withColumn("_rows", F.lit(1).cast("long"))
         out = star_join(out, large).groupBy(*by).agg(F.sum("_rows").alias(name))
     else:
         out = out.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
@@ -135,16 +152,18 @@ class StarModel:
     def report(self, by: Sequence[str], measures: Sequence[str] | None = None) -> DataFrame:
         """Sums by model columns; only the dimensions named in ``by`` are joined.
 
-        The facts are summed per foreign key before the joins, so skewed keys
-        are levelled map-side and the joins see key combinations, not rows.
+        The facts are summed per foreign key before the joins where that makes
+        them much fewer, see ``worth_grouping``.
         """
         measures = list(measures or self.measures)
         dims = self._dims_of(by)
         of_dims = {c for d in dims for c in self.dims[d].columns}
         fact_by = [c for c in by if c not in of_dims]
         keys = list(dict.fromkeys(fact_by + [self.dims[d].fact_key for d in dims]))
-        summed = self.fact.groupBy(*keys).agg(
-            *[F.sum(self.measures[m]).alias(m) for m in measures]
-        )
-        out = self._joined(summed, dims)
+        sums = [F.sum(self.measures[m]).alias(m) for m in measures]
+        if dims and not worth_grouping(self.fact, keys):
+            facts = self.fact.select(*keys, *[F.col(self.measures[m]).alias(m) for m in measures])
+        else:
+            facts = self.fact.groupBy(*keys).agg(*sums)
+        out = self._joined(facts, dims)
         return out.groupBy(*by).agg(*[F.sum(m).alias(m) for m in measures])

@@ -17,6 +17,7 @@ from starloom.operators.star import (
     dimension_members,
     label_report,
     star_report,
+    worth_grouping,
 )
 
 
@@ -106,3 +107,16 @@ def test_model(spark, rows):
     only_fact = m.report(["year"])
     assert rows(only_fact) == [(2024, 3), (2025, 12)]
     assert "Join" not in only_fact._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grouping_before_a_join_only_where_it_reduces(spark):
+    few = spark.range(4000).selectExpr("id % 10 as k", "id % 3 as p", "1 as m")
+    many = spark.range(4000).selectExpr("id as k", "id % 3 as p", "1 as m")
+    assert worth_grouping(few, ["k", "p"]) and not worth_grouping(many, ["k", "p"])
+    dim = spark.range(4000).selectExpr("id as d", "id % 2 as half")
+    for fact in (few, many):
+        model = StarModel(fact, {"dim": ModelDim(dim, "k", "d", {"half": "half"})}, {"m": "m"})
+        assert {tuple(r) for r in model.report(["half"]).collect()} == {(0, 2000), (1, 2000)}
+        halves = Lookup(dim, [("k", "d")], {"half": "half"}, current_only=False)
+        got = star_report(fact, [], ["p", "half"], large=[halves])
+        assert sum(r.rows for r in got.collect()) == 4000
