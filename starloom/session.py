@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
+from urllib.parse import urlparse
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +20,6 @@ SESSION_CONF = {
 }
 
 
-def shuffle_partitions(shuffled_bytes: int, target: int = 256 << 20, limit: int = 50_000) -> int:
-    """Partitions for a shuffle of that size: ``target`` bytes each, as AQE may
-    only merge them; beyond ``limit`` they grow instead and may spill."""
-    return max(1, min(limit, -(-shuffled_bytes // target)))
-
-
 def build_session(app: str = "starloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect.
 
@@ -42,23 +35,24 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="starloom-checkpoint-")
+#: Intermediate tables written by this driver and not yet dropped.
+_intermediates: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder intermediate tables go to: the session's ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder: executors
-    elsewhere could not read it.
+    """The folder intermediate tables go to: the session's ``spark.checkpoint.dir``,
+    else one in the warehouse, which all executors must reach as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    on_one_machine = spark.sparkContext.master.startswith(("local[", "local-cluster")) or (
+        spark.sparkContext.master == "local"
+    )
+    if not on_one_machine and urlparse(warehouse).scheme in ("", "file"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
+    return f"{warehouse}/_intermediate"
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
@@ -69,4 +63,21 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/starloom-{uuid4().hex}"
     df.write.parquet(path)
+    _intermediates.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession, since: int = 0) -> int:
+    """Delete intermediate tables from the ``since``-th on that this driver wrote;
+    tells how many.  Frames that read them must not be used any more."""
+    gone = _intermediates[since:]
+    for path in gone:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del _intermediates[since:]
+    return len(gone)
+
+
+def intermediates() -> int:
+    """How many intermediate tables this driver has written and not dropped."""
+    return len(_intermediates)

@@ -30,7 +30,7 @@ from starloom.operators.predicates import (
     where_value,
 )
 from starloom.operators.profile import count_by, distinct_by, null_profile, numeric_profile, row_count
-from starloom.session import shuffle_partitions
+from starloom.session import drop_intermediates, intermediates, reliable_checkpoint
 
 CASTS = {"n": "int", "clock": clock_text, "day": iso_date}
 
@@ -164,5 +164,11 @@ def test_where_null_reaches_the_scan(spark, tmp_path):
     assert "IsNull(lat)" in text and "lon" not in text.split("ReadSchema")[1]
 
 
-def test_shuffle_partitions():
-    assert [shuffle_partitions(n) for n in (0, 1, 256 << 20, 10 << 40, 100 << 40)] == [1, 1, 1, 40960, 50_000]
+def test_intermediate_tables_can_be_dropped(spark):
+    import os
+
+    before = intermediates()
+    path = reliable_checkpoint(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and intermediates() == before + 1
+    assert drop_intermediates(spark, since=before) == 1
+    assert not os.path.exists(path) and intermediates() == before
