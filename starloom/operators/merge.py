@@ -145,6 +145,7 @@ def upsert(
     cols: Sequence[str],
     *,
     null_safe: bool = True,
+    null_keys: str = "match",
 ) -> DataFrame:
     """Next state of ``target``: matched rows that differ take the source values,
     unmatched source rows are added.
@@ -153,8 +154,10 @@ def upsert(
     side never counts as a change, so a NULL is never repaired.  A repeated
     source key fails the job.
 
-    Rows with a NULL key can match nothing.  They skip the join, which would
-    otherwise send all of them to one task.
+    Rows with a NULL key can match nothing by key.  They skip the join, which
+    would otherwise send all of them to one task.  By default one is added only
+    if the target has no equal row without a key (as often), so that a repeated
+    upsert changes nothing; ``null_keys="append"`` adds them every time.
     """
     keys, cols = list(keys), list(cols)
     source = source.select(*keys, *cols)
@@ -190,10 +193,24 @@ def upsert(
     return (
         both.select(*[value(c) for c in target.columns])
         .unionByName(target.where(~keyed))
-        .unionByName(shaped(source.where(~keyed)))
+        .unionByName(shaped(_unkeyed(target, source, keyed, [*keys, *cols], null_keys)))
     )
 
 
+def _unkeyed(
+    target: DataFrame, source: DataFrame, keyed: Column, cols: Sequence[str], null_keys: str
+) -> DataFrame:
+    """Source rows without a key that are to be added."""
+    if null_keys not in ("match", "append"):
+        raise ValueError(f"null_keys must be 'match' or 'append', not {null_keys!r}")
+    new = source.where(~keyed).select(*cols)
+    if null_keys == "append":
+        return new
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    typed = new.select(*[F.col(c).cast(kinds[c]).alias(c) for c in cols])
+    return typed.exceptAll(target.where(~keyed).select(*cols))
+
+
 def changed_rows(
     target: DataFrame,
     source: DataFrame,
@@ -202,6 +219,7 @@ def changed_rows(
     *,
     null_safe: bool = True,
     was: Sequence[str] = (),
+    null_keys: str = "match",
 ) -> DataFrame:
     """The source rows an ``upsert`` would add or take over.
 
@@ -212,6 +230,7 @@ def changed_rows(
     source = source.select(*keys, *cols)
     keyed = all_of(F.col(k).isNotNull() for k in keys)
     carried = [F.col(f"_old_{c}").alias(f"_was_{c}") for c in was]
+    kinds = {f.name: f.dataType for f in target.schema.fields}
 
     old = target.select(*[F.col(c).alias(f"_old_{c}") for c in dict.fromkeys([*keys, *cols, *was])])
     old = old.withColumn("_old", F.lit(True))
@@ -221,8 +240,7 @@ def changed_rows(
         *keys, *cols, *carried
     )
     # As in upsert, rows with a NULL key match nothing and skip the join.
-    kinds = {f.name: f.dataType for f in target.schema.fields}
-    unkeyed = source.where(~keyed).withColumns(
+    unkeyed = _unkeyed(target, source, keyed, [*keys, *cols], null_keys).withColumns(
         {f"_was_{c}": F.lit(None).cast(kinds[c]) for c in was}
     )
     return changed.unionByName(unkeyed)

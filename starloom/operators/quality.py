@@ -158,12 +158,18 @@ def log_errors(
     keep: Iterable[str] = (),
     identifier: str = "hash",
 ) -> DataFrame:
-    """Errors of ``df`` that ``log`` does not hold yet, ready to append."""
+    """Errors of ``df`` that ``log`` does not hold yet, ready to append.
+
+    A log may be shared: only what it holds of the same table counts as known.
+    """
     rules = list(rules)
     errors = find_errors(
         df, rules, table_name=table_name, now=now, keep=keep, identifier=identifier
     )
-    logged = log.where(F.col("error_type").isin(*{r.error_type for r in rules}))
+    logged = log.where(
+        (F.col("table_name") == table_name)
+        & F.col("error_type").isin(*{r.error_type for r in rules})
+    )
     return not_in(errors, logged, LOG_KEY)
 
 

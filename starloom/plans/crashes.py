@@ -97,11 +97,12 @@ LONGITUDE_RADIUS = 0.095
 UNKNOWN = "Unknown"
 
 
-def quality_rules(coordinates: str = "all") -> tuple[Rule, ...]:
+def quality_rules(coordinates: str = "any") -> tuple[Rule, ...]:
     """The checks a crash record goes through.
 
-    ``coordinates="any"`` also logs records with only one coordinate missing,
-    which cleaning drops just the same.
+    Records with one coordinate missing are dropped from silver and logged;
+    with ``coordinates="all"`` they are dropped all the same but only those
+    lacking both are logged.
     """
     # Labels as existing logs spell them.
     return (
@@ -244,7 +245,9 @@ class CrashWarehouse:
     ``vehicle_spellings`` holds ``(value, category)`` in lower case; or a
     mapping of category to spellings.  ``parity`` keeps the looser readings of
     the original jobs where they differ from the defaults: text identifiers in
-    the error log, two-run versioning, change tests that ignore NULLs.
+    the error log, only records lacking both coordinates logged, two-run
+    versioning, change tests that ignore NULLs, loads that never look back, and
+    records without a collision number, which by default are rejected.
     """
 
     boroughs: DataFrame
@@ -252,7 +255,7 @@ class CrashWarehouse:
     factor_categories: Mapping[str, Sequence[str]] = field(
         default_factory=lambda: FACTOR_CATEGORIES
     )
-    rules: Sequence[Rule] = field(default_factory=quality_rules)
+    rules: Sequence[Rule] | None = None
     bronze: str = "crashes"
     streets: str = "street_name"
     marks: str = "extraction_watermark"
@@ -260,6 +263,7 @@ class CrashWarehouse:
     log: str = "fact_error_event"
     log_counts: str = "error_counts"
     rejects: str = "rejected_crashes"
+    unmarked: str = "unreadable_crashes"
     silver: str = "silver_crashes"
     silver_street: str = "silver_crashes_street"
     dim_date: str = "dim_date"

@@ -197,6 +197,42 @@ def _(spark, sf):
     )
 
 
+_NULL_KEYS = """
+    WITH o AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS k,
+                      o_custkey AS c, o_orderstatus AS s, o_orderkey % 3 AS part FROM orders),
+    t AS (SELECT k, c, s FROM o WHERE part <> 0), n AS (SELECT k, c, s FROM o WHERE part <> 1)
+    SELECT * FROM t
+    UNION ALL SELECT * FROM n WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM t WHERE k IS NOT NULL)
+    UNION ALL """
+
+
+def _null_keys(spark, sf, **options):
+    rows = table(spark, sf, "orders").selectExpr(
+        "if(o_orderkey % 7 = 0, null, o_orderkey) as k",
+        "o_custkey as c",
+        "o_orderstatus as s",
+        "o_orderkey % 3 as part",
+    )
+    t, n = (rows.where(f"part <> {p}").drop("part") for p in (0, 1))
+    once = upsert(t, n, ["k"], ["c", "s"], **options)
+    return once if options else upsert(once, n, ["k"], ["c", "s"])
+
+
+@query(
+    "fact_upsert_null_keys",
+    _NULL_KEYS + "(SELECT * FROM n WHERE k IS NULL EXCEPT ALL SELECT * FROM t WHERE k IS NULL)",
+)
+def _(spark, sf):
+    """The same load twice; rows without a key are added once."""
+    return _null_keys(spark, sf)
+
+
+@query("fact_upsert_null_keys_parity", _NULL_KEYS + "SELECT * FROM n WHERE k IS NULL")
+def _(spark, sf):
+    """Rows without a key are added whatever is stored."""
+    return _null_keys(spark, sf, null_keys="append")
+
+
 @query(
     "fact_changes",
     _upsert_sql(_DISTINCT).split("SELECT COALESCE(t.")[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from starloom.operators.profile import count_by
 from starloom.plans.queries.inputs import moment
 from starloom.plans.registry import query, table
 from starloom.sources.readers import incremental_read, stamp_batch
-from starloom.streaming.marks import upsert_mark
+from starloom.streaming.marks import next_mark, seed_mark, upsert_mark
 
 LAST = datetime(2024, 1, 15)
 
@@ -49,9 +50,19 @@ def _marks(events):
     """,
 )
 def _(spark, sf):
+    """Each kind of event as a source of its own; there are a handful."""
     events = table(spark, sf, "events")
-    top = events.groupBy(F.col("event_type").alias("table_name")).agg(F.max("ts").alias("next_mark"))
-    return _marks(events).withColumnRenamed("last_watermark", "seeded").join(top, "table_name")
+    parts = []
+    for (kind,) in events.select("event_type").distinct().collect():
+        own, at = events.where(F.col("event_type") == kind), datetime(2024, 2, 1)
+        seeded, top = (
+            mark(own, "ts", kind, at).select(
+                "table_name", F.col("last_watermark").cast("timestamp_ntz").alias(name)
+            )
+            for mark, name in ((seed_mark, "seeded"), (next_mark, "next_mark"))
+        )
+        parts.append(seeded.join(top, "table_name"))
+    return reduce(union_all, parts)
 
 
 @query(

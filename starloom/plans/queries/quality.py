@@ -202,6 +202,21 @@ def _(spark, sf):
     return log_errors(dirty, _RULES, log, **options)
 
 
+@query(
+    "error_log_two_tables",
+    f"""
+    WITH {DIRTY_LINEITEM}, errors AS ({_errors_sql("dirty")})
+    SELECT 'lineitem_copy' AS table_name, TIMESTAMP '{_NOW}' AS error_timestamp, e.* FROM errors e
+    """,
+)
+def _(spark, sf):
+    """A shared log that has all errors of another table with the same records."""
+    dirty = dirty_lineitem(spark, sf)
+    options = {"now": moment(_NOW), "keep": ("l_orderkey", "l_shipdate"), "identifier": "text"}
+    log = find_errors(dirty, _RULES, table_name="lineitem", **options)
+    return log_errors(dirty, _RULES, log, table_name="lineitem_copy", **options)
+
+
 @query(
     "error_counts",
     f"""

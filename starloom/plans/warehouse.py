@@ -7,7 +7,8 @@ one runs only after success, and every stage can be run again.
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,15 @@ from starloom.operators.joins import Lookup, lookup_default, resolve_keys, star_
 from starloom.operators.merge import apply_changes, changed_rows, scd2_merge
 from starloom.operators.nearest import Axis, fill_from_nearest
 from starloom.operators.predicates import where_since
-from starloom.operators.quality import DuplicateRule, Rule, error_counts, log_errors
+from starloom.operators.quality import (
+    DuplicateRule,
+    NullRule,
+    Rule,
+    ValueRule,
+    drop_failing,
+    error_counts,
+    log_errors,
+)
 from starloom.operators.star import ModelDim, StarModel, dimension_members, star_report
 from starloom.plans.crashes import (
     BRONZE_SCHEMA,
@@ -39,9 +48,11 @@ from starloom.plans.crashes import (
     UNKNOWN,
     VEHICLE_SCHEMA,
     CrashWarehouse,
+    quality_rules,
     vehicle_map,
 )
-from starloom.session import reliable_checkpoint
+from starloom.session import drop_intermediates, intermediates, reliable_checkpoint
+from starloom.sources.readers import unmarked
 from starloom.sources.sinks import append, ensure_table, replace_partitions, replace_table
 from starloom.streaming.incremental import incremental_load
 from starloom.streaming.marks import empty_marks, seed_mark, upsert_mark
@@ -63,11 +74,28 @@ def seed_marks(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> bool:
 def extract(
     crashes: DataFrame, cfg: CrashWarehouse, now: datetime, streets: DataFrame | None = None
 ) -> bool:
-    """Append source records above the mark; tells whether crashes came in."""
-    seed_marks(crashes.sparkSession, cfg, now)
+    """Append source records above the mark; tells whether crashes came in.
+
+    Marks are days.  The last day loaded is looked at again, and records that
+    are there already are skipped, so what is published late is not lost.
+    Records whose day cannot be read are kept aside, see ``rejected``.
+    """
+    spark = crashes.sparkSession
+    seed_marks(spark, cfg, now)
+
+    def again(columns):
+        return {} if cfg.parity else {"lookback": timedelta(days=1), "key": columns}
+
     loaded = incremental_load(
-        crashes, cfg.bronze, cfg.marks, mark_col="crash_date", columns=CRASH_COLUMNS, batch_ts=now
+        crashes,
+        cfg.bronze,
+        cfg.marks,
+        mark_col="crash_date",
+        columns=CRASH_COLUMNS,
+        batch_ts=now,
+        **again(CRASH_COLUMNS),
     )
+    replace_table(unmarked(crashes, "crash_date", CRASH_COLUMNS), cfg.unmarked)
     if streets is not None:
         incremental_load(
             streets,
@@ -76,6 +104,7 @@ def extract(
             mark_col="crash_date",
             columns=STREET_COLUMNS,
             batch_ts=now,
+            **again(STREET_COLUMNS),
         )
     return loaded
 
@@ -89,7 +118,10 @@ def effective_rules(cfg: CrashWarehouse) -> list[Rule]:
     passes over duplicate keys with a NULL.
     """
     out = []
-    for r in cfg.rules:
+    rules = cfg.rules
+    if rules is None:
+        rules = quality_rules("all" if cfg.parity else "any")
+    for r in rules:
         if isinstance(r, DuplicateRule):
             out.append(replace(r, null_safe=False) if cfg.parity else r)
         else:
@@ -114,14 +146,40 @@ def log_quality(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> None
     replace_table(counts, cfg.log_counts)
 
 
+def dropping_rules() -> list[Rule]:
+    """The rules whose failing rows silver leaves out: those on coordinates."""
+    return [
+        r
+        for r in quality_rules("any")
+        if isinstance(r, (NullRule, ValueRule)) and r.columns_checked == "log$lat"
+    ]
+
+
+def rejected(bronze: DataFrame, unread: DataFrame) -> DataFrame:
+    """Records with a value that cannot be used, and why, as they came.
+
+    A record may have several reasons.  Those without a collision number or a
+    readable day go no further; the others lose the value only.
+    """
+    reasons = {
+        "unreadable value": cast_failures(bronze, SILVER_CASTS),
+        "no collision_id": bronze.where("collision_id is null"),
+        "unreadable day": unread.withColumn("extraction_timestamp", F.lit(None).cast("string")),
+    }
+    parts = [df.withColumn("reason", F.lit(why)) for why, df in reasons.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def silver_crashes(bronze: DataFrame, cfg: CrashWarehouse) -> DataFrame:
     """Typed, cleaned crashes, one per collision, with a borough and a month.
 
     The collision number is part of the duplicate key, so keeping the latest
     row per collision leaves no duplicates either: one shuffle does both.
+    Rows without a number are rejects, but for ``parity``, which keeps one.
     """
+    usable = bronze if cfg.parity else bronze.where("collision_id is not null")
     cleaned = clean(
-        bronze,
+        drop_failing(usable, dropping_rules()),
         CleanSpec(
             casts=SILVER_CASTS,
             required=("latitude", "longitude"),
@@ -153,7 +211,12 @@ def silver_crashes(bronze: DataFrame, cfg: CrashWarehouse) -> DataFrame:
 def transform(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> None:
     """Log quality errors and unreadable values, then rebuild silver by month."""
     log_quality(spark, cfg, now)
-    replace_table(cast_failures(spark.table(cfg.bronze), SILVER_CASTS), cfg.rejects)
+    bronze = spark.table(cfg.bronze)
+    if spark.catalog.tableExists(cfg.unmarked):
+        unread = spark.table(cfg.unmarked)
+    else:
+        unread = bronze.select(*CRASH_COLUMNS).limit(0)
+    replace_table(rejected(bronze, unread), cfg.rejects)
     replace_table(silver_crashes(spark.table(cfg.bronze), cfg), cfg.silver, ["crash_month"])
 
 
@@ -285,7 +348,13 @@ def load_fact(spark: SparkSession, cfg: CrashWarehouse, street: bool = False) ->
     stored = spark.table(name)
     changes = reliable_checkpoint(
         changed_rows(
-            stored, resolved, ["collision_id"], FACT_COLUMNS, null_safe=not cfg.parity, was=[by]
+            stored,
+            resolved,
+            ["collision_id"],
+            FACT_COLUMNS,
+            null_safe=not cfg.parity,
+            was=[by],
+            null_keys="append" if cfg.parity else "match",
         )
     )
     touched = changes.select(by).union(changes.select(f"_was_{by}")).distinct()
@@ -309,6 +378,7 @@ def run_pipeline(
     """
     spark = crashes.sparkSession
     street = streets is not None
+    before = intermediates()
     loaded = extract(crashes, cfg, now, streets)
     if not spark.catalog.tableExists(cfg.bronze):
         ensure_table(spark, cfg.bronze, BRONZE_SCHEMA + ", extraction_timestamp string")
@@ -317,6 +387,7 @@ def run_pipeline(
     load_fact(spark, cfg)
     if street:
         load_fact(spark, cfg, street=True)
+    drop_intermediates(spark, since=before)
     return loaded
 
 

@@ -66,6 +66,9 @@ def incremental_read(
 ) -> DataFrame:
     """Rows strictly newer than ``last``, chosen columns only.
 
+    Text marks are compared as what they parse to, however they are spelled.
+    Rows without a readable mark are not newer; ``unmarked`` has them.
+
     ``lookback`` reaches further back to catch late rows of the last period;
     the caller then has to drop rows it holds already.
     """
@@ -74,12 +77,15 @@ def incremental_read(
     if lookback is not None:
         last = last - lookback
     newer = df.where(mark_value(df, mark_col) > mark_literal(df, mark_col, last))
-    if isinstance(df.schema[mark_col].dataType, T.StringType):
-        # Text compares by day without a cast, which the scan can use.
-        newer = newer.where(F.col(mark_col) >= (last - timedelta(days=1)).strftime("%Y-%m-%d"))
     return newer if columns is None else newer.select(*columns)
 
 
+def unmarked(df: DataFrame, mark_col: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """Rows that no incremental read returns: their mark is NULL or unreadable."""
+    out = df.where(mark_value(df, mark_col).isNull())
+    return out if columns is None else out.select(*columns)
+
+
 def stamp_batch(
     df: DataFrame, ts: datetime | str, *, name: str = "extraction_timestamp"
 ) -> DataFrame:

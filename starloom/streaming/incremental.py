@@ -32,21 +32,30 @@ def incremental_load(
     The upper end of the batch is fixed before it is written, so rows arriving
     meanwhile wait for the next run.  Without new rows nothing is touched and
     False is returned.  ``key`` makes a repeated or reached-back load skip rows
-    the table already holds.
+    the table already holds, NULLs being equal; a load that failed before its
+    mark moved is repeated without harm.  Late rows do not move a mark back.
     """
     spark = source.sparkSession
     known = spark.catalog.tableExists(marks_table)
     marks = spark.table(marks_table) if known else empty_marks(spark)
     last = get_mark(marks, table, default)
     batch = incremental_read(source, mark_col, last, columns, lookback=lookback)
+    if key and spark.catalog.tableExists(table):
+        held = spark.table(table)
+        if lookback is not None:  # older rows cannot meet the batch
+            reach = mark_literal(held, mark_col, last) - F.expr(
+                f"make_dt_interval(0, 0, 0, {lookback.total_seconds()})"
+            )
+            held = held.where(mark_value(held, mark_col) > reach)
+        batch = not_in(batch, held, key, null_safe=True)
     value = mark_value(batch, mark_col)
     upper = batch.agg(F.max(value).alias("top"), F.max(value).cast("timestamp").alias("mark")).first()
     if upper["top"] is None:
         return False
     batch = batch.where(value <= mark_literal(batch, mark_col, upper["top"]))
-    if key and spark.catalog.tableExists(table):
-        batch = not_in(batch, spark.table(table), key)
     append(stamp_batch(batch, batch_ts), table)
-    moved = spark.createDataFrame([(table, upper["mark"], batch_ts)], marks.schema)
+    before = get_mark(marks, table, None)
+    mark = upper["mark"] if before is None else max(before, upper["mark"])
+    moved = spark.createDataFrame([(table, mark, batch_ts)], marks.schema)
     replace_table(upsert_mark(marks, moved), marks_table)
     return True

@@ -120,8 +120,12 @@ def test_upsert_needs_one_shuffle_per_side(spark, tmp_path):
     for name in ("t", "s"):
         fact(spark, ("1", 1, 1)).write.parquet(str(tmp_path / name))
     t, s = (spark.read.parquet(str(tmp_path / n)) for n in ("t", "s"))
-    plan = upsert(t, s, ["id"], ["a", "b"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
+    def shuffles(**options):
+        out = upsert(t, s, ["id"], ["a", "b"], **options)
+        return out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert shuffles(null_keys="append") == 2
+    assert shuffles() == 3  # and one of the rows without a key
 
 
 def test_keys_survive_reevaluation(spark, rows):
