@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import column
+from starloom.operators.joins import keys_match
 from starloom.operators.keys import first_per_group
 
 
@@ -54,7 +55,9 @@ def categorize(
     ranked = first_per_group(mapping, ["value"], ["rank", "category"]).select(
         F.col("value").alias("_value"), F.col("category").alias("_category")
     )
-    return df.join(ranked, value == F.col("_value"), "left").select(
+    keyed = df.withColumn("_text", value)
+    match = keys_match(keyed, [("_text", "_value")])
+    return keyed.join(ranked, match, "left").select(
         *[F.col(c) for c in df.columns],
         F.coalesce("_category", F.lit(default)).alias(out),
     )

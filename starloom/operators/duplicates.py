@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import all_of
-
-# A key with this many rows is handled apart from the shuffle join.
-HOT_ROWS = 1_000_000
+from starloom.operators.joins import keys_match
 
 
 def duplicate_keys(df: DataFrame, keys: Iterable[str], *, name: str = "count") -> DataFrame:
@@ -18,30 +16,20 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str], *, name: str = "count") -
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
 
 
-def duplicate_rows(
-    df: DataFrame,
-    keys: Iterable[str],
-    *,
-    null_safe: bool = True,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys: Iterable[str], *, null_safe: bool = True) -> DataFrame:
     """All rows whose key occurs more than once.
 
     With ``null_safe`` two NULLs count as equal, as GROUP BY treats them;
     without it a key holding a NULL yields no row.
 
-    Keys with ``hot_rows`` rows or more number at most ``rows / hot_rows``, so
-    they are broadcast and their rows never shuffled.  The other keys join by
-    shuffle, where no key exceeds ``hot_rows`` rows.
+    Copies are counted within the tasks before the shuffle.  The join that
+    follows leaves AQE free to split a key that many rows share, and to
+    broadcast the repeated keys if they turn out to be few.
     """
     keys = list(keys)
     repeated = duplicate_keys(df, keys, name="_copies")
     if not null_safe:
         repeated = repeated.where(all_of(F.col(k).isNotNull() for k in keys))
-    renamed = [F.col(k).alias(f"_dup_{k}") for k in keys]
-    hot = F.broadcast(repeated.where(F.col("_copies") >= hot_rows).select(*renamed))
-    cold = repeated.where(F.col("_copies") < hot_rows).select(*renamed)
-    match = all_of(F.col(k).eqNullSafe(F.col(f"_dup_{k}")) for k in keys)
-    return df.join(hot, match, "left_semi").unionByName(
-        df.join(hot, match, "left_anti").join(cold, match, "left_semi")
-    )
+    repeated = repeated.select(*[F.col(k).alias(f"_dup_{k}") for k in keys])
+    match = keys_match(df, [(k, f"_dup_{k}") for k in keys], null_safe=null_safe)
+    return df.join(repeated, match, "left_semi")

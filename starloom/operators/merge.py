@@ -247,10 +247,14 @@ def changed_rows(
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``target`` with the rows of ``changes`` in place of those under the same keys."""
+    """``target`` with the rows of ``changes`` in place of those under the same keys.
+
+    A key that the target held twice, as an interrupted write may leave it, is
+    among the changes twice and comes out once.
+    """
     replaced = changes.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
     kept = target.join(replaced, all_of(F.col(k) == F.col(f"_new_{k}") for k in keys), "left_anti")
     types = {f.name: f.dataType for f in target.schema.fields}
-    return kept.unionByName(
-        changes.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
-    )
+    keyed = all_of(F.col(k).isNotNull() for k in keys)
+    new = changes.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
+    return kept.unionByName(new.where(keyed).dropDuplicates(list(keys))).unionByName(new.where(~keyed))

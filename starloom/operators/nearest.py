@@ -11,7 +11,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import all_of
@@ -23,6 +23,8 @@ from starloom.session import reliable_checkpoint
 SMALL_REFS = 20_000
 # … as long as no cell neighbourhood holds more candidates than this.
 SMALL_CELL = 256
+# … and the lists take no more than this, labels included.
+SMALL_BYTES = 32 << 20
 # Larger sets are searched through a hierarchy of grids; each level splits a
 # cell into 2**LEVEL_BITS by 2**LEVEL_BITS and the finest ones aim at this many.
 LEAF_REFS = 32
@@ -31,6 +33,9 @@ MAX_LEVELS = 12
 # Cells are a little wider than the radius, so that rounding in the division
 # can never put two points inside one band more than one cell apart.
 _WIDEN = 1.0 + 2.0**-20
+# Coordinates this many radii out, beyond any map, share the outermost cell: cell
+# numbers stay exact and within bigint however fine the grid.
+_EDGE = 2.0**31
 
 
 @dataclass(frozen=True)
@@ -42,8 +47,14 @@ class Axis:
     radius: float
 
 
-def _cell(value: Column, width: float) -> Column:
-    return F.floor(value / F.lit(width * _WIDEN)).cast("bigint")
+def _cell(value: Column, radius: float, scale: int = 1) -> Column:
+    """Number of the cell, ``scale`` times narrower than the radius.
+
+    Huge and infinite values (NaN too) are in the outermost cells; being in one
+    cell makes two points no partners, that is up to the band.
+    """
+    near = F.greatest(F.lit(-_EDGE), F.least(F.lit(_EDGE), value / F.lit(radius * _WIDEN)))
+    return F.floor(near * F.lit(float(scale))).cast("bigint")
 
 
 def _around(c: Column) -> Column:
@@ -82,9 +93,11 @@ def _square_distance(x1: Column, x2: Column, y1: Column, y2: Column) -> Column:
 def _points(refs: DataFrame, x: Axis, y: Axis, label: str, tie: str) -> DataFrame:
     """References as ``(_rx, _ry, _tie, _label)``, one per place.
 
-    Of several references at one place only the smallest tie can win.
+    Of several references at one place only the smallest tie can win.  Those at
+    no finite place are within no band.
     """
-    rows = refs.where(F.col(x.ref).isNotNull() & F.col(y.ref).isNotNull()).select(
+    finite = [F.abs(F.col(a.ref).cast("double")) < float("inf") for a in (x, y)]
+    rows = refs.where(all_of(finite)).select(
         F.col(x.ref).cast("double").alias("_rx"),
         F.col(y.ref).cast("double").alias("_ry"),
         F.col(tie).alias("_tie"),
@@ -166,25 +179,13 @@ def _prune(frame: DataFrame, x: Axis, y: Axis) -> DataFrame:
     bound = F.when(
         (far_x < x.radius) & (far_y < y.radius), far_x * far_x + far_y * far_y
     )
+    limit = F.min("_high").over(Window.partitionBy("_px", "_py"))
     return (
         frame.where((near_x < x.radius) & (near_y < y.radius))
         .select("_px", "_py", "_i", "_j", (near_x * near_x + near_y * near_y).alias("_low"), bound.alias("_high"))
-        .groupBy("_px", "_py")
-        .agg(
-            F.min("_high").alias("_limit"),
-            F.collect_list(F.struct("_low", "_i", "_j")).alias("_cells"),
-        )
-        .select(
-            "_px",
-            "_py",
-            F.explode(
-                F.filter(
-                    "_cells",
-                    lambda c: F.col("_limit").isNull() | (c["_low"] <= F.col("_limit")),
-                )
-            ).alias("_cell"),
-        )
-        .select("_px", "_py", F.col("_cell._i").alias("_i"), F.col("_cell._j").alias("_j"))
+        .withColumn("_limit", limit)
+        .where("_limit is null or _low <= _limit")
+        .select("_px", "_py", "_i", "_j")
     )
 
 
@@ -195,7 +196,7 @@ def _depth(points: DataFrame, x: Axis, y: Axis) -> int:
         scale = 2 ** (LEVEL_BITS * levels)
         fullest = (
             points.groupBy(
-                _cell(F.col("_rx"), x.radius / scale), _cell(F.col("_ry"), y.radius / scale)
+                _cell(F.col("_rx"), x.radius, scale), _cell(F.col("_ry"), y.radius, scale)
             )
             .count()
             .agg(F.max("count"))
@@ -214,26 +215,25 @@ def _hierarchical(left: DataFrame, points: DataFrame, x: Axis, y: Axis) -> DataF
     Works on the distinct places of ``left``, so a place shared by a third of
     the rows is searched once.  Each level keeps only the cells that can still
     hold the nearest reference, and only the finest cells are compared point by
-    point.  All joins are equi-joins on cell numbers.
+    point.  All joins are equi-joins on cell numbers.  Rows without a place take
+    no part and are not shuffled.
     """
     levels = _depth(points, x, y)
     scale = 2 ** (LEVEL_BITS * levels)
     points = points.withColumns(
         {
-            "_fi": _cell(F.col("_rx"), x.radius / scale),
-            "_fj": _cell(F.col("_ry"), y.radius / scale),
+            "_fi": _cell(F.col("_rx"), x.radius, scale),
+            "_fj": _cell(F.col("_ry"), y.radius, scale),
         }
     )
-    places = (
-        left.select(
-            F.col(x.left).cast("double").alias("_px"), F.col(y.left).cast("double").alias("_py")
-        )
-        .where("_px is not null and _py is not null")
-        .distinct()
+    rows = left.withColumns(
+        {"_x": F.col(x.left).cast("double"), "_y": F.col(y.left).cast("double")}
     )
+    placed = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    places = rows.where(placed).select(F.col("_x").alias("_px"), F.col("_y").alias("_py")).distinct()
     shift = LEVEL_BITS * levels
-    own_i = F.shiftright(_cell(F.col("_px"), x.radius / scale), shift)
-    own_j = F.shiftright(_cell(F.col("_py"), y.radius / scale), shift)
+    own_i = F.shiftright(_cell(F.col("_px"), x.radius, scale), shift)
+    own_j = F.shiftright(_cell(F.col("_py"), y.radius, scale), shift)
     cells = places.select("_px", "_py", _around(own_i).alias("_i"), own_j.alias("_own_j")).select(
         "_px", "_py", "_i", _around(F.col("_own_j")).alias("_j")
     )
@@ -258,11 +258,12 @@ def _hierarchical(left: DataFrame, points: DataFrame, x: Axis, y: Axis) -> DataF
             )
         ).alias("_best")
     )
-    rows = left.withColumns(
-        {"_x": F.col(x.left).cast("double"), "_y": F.col(y.left).cast("double")}
-    )
     match = keys_match(rows, [("_x", "_px"), ("_y", "_py")])
-    return rows.join(best, match, "left").select(*left.columns, "_best")
+    found = rows.where(placed).join(best, match, "left").select(*left.columns, "_best")
+    nowhere = rows.where(~placed).select(
+        *left.columns, F.lit(None).cast(best.schema["_best"].dataType).alias("_best")
+    )
+    return found.unionByName(nowhere)
 
 
 def nearest(
@@ -279,18 +280,25 @@ def nearest(
     """Every row of ``left`` once, with the label of its nearest reference as
     ``out`` and the distance as ``distance``; both NULL when none is in range.
 
-    The size of the reference set is measured first and decides between a
-    broadcast of candidate lists and the search through nested grids.
+    The size of the reference set is measured first, in rows and bytes, and
+    decides between a broadcast of candidate lists and the search through nested
+    grids; the result is the same.
     """
     points = reliable_checkpoint(_points(refs, x, y, label, tie))
+    wide = [F.octet_length(F.col(c).cast("string")) for c in ("_tie", "_label")]
     size = (
         points.groupBy(_cell(F.col("_rx"), x.radius), _cell(F.col("_ry"), y.radius))
-        .count()
-        .agg(F.sum("count").alias("rows"), F.max("count").alias("fullest"))
+        .agg(
+            F.count(F.lit(1)).alias("count"),
+            F.sum(sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(48))).alias("bytes"),
+        )
+        .agg(
+            F.sum("count").alias("rows"), F.max("count").alias("fullest"), F.sum("bytes").alias("bytes")
+        )
         .first()
     )
-    rows, fullest = size["rows"] or 0, size["fullest"] or 0
-    small = rows <= small_refs and 9 * fullest <= SMALL_CELL
+    rows, fullest, taken = (size[c] or 0 for c in ("rows", "fullest", "bytes"))
+    small = rows <= small_refs and 9 * fullest <= SMALL_CELL and 9 * taken <= SMALL_BYTES
     best = (_flat if small else _hierarchical)(left, points, x, y)
     return best.select(
         *left.columns,

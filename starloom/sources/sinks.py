@@ -8,6 +8,8 @@ replaces and a failed write leaves the old state in place.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +21,12 @@ from pyspark.sql import types as T
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
 
 
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _folder(value: str | None) -> str:
     if value is None or value == "":
-        return "__HIVE_DEFAULT_PARTITION__"
+        return _NO_VALUE
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
 
@@ -87,16 +92,60 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
         df.write.parquet(path)
     if spark.catalog.tableExists(table):
         same = spark.table(table).schema.simpleString() == schema.simpleString()
-        if same and not partition_by and not partition_columns(spark, table):
+        if same and list(partition_by) == partition_columns(spark, table):
+            if partition_by:
+                _swap(spark, table, path, schema, _specs(spark, table))
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return
-        # Partition entries keep their old folders, so the entry is made anew;
-        # the files of an external table stay where they are.
+        # Another layout: the entry is made anew; files of an external table stay.
         spark.sql(f"DROP TABLE {table}")
     _create(spark, table, schema, partition_by, path)
 
 
+Spec = tuple[str | None, ...]
+
+
+def _spec(keys: Sequence[str], row: Spec) -> str:
+    """A partition as SQL names it."""
+    return ", ".join(f"`{k}` = " + ("NULL" if v is None else _literal(v)) for k, v in zip(keys, row))
+
+
+def _values(frame: DataFrame, keys: Sequence[str]) -> set[Spec]:
+    """One entry per partition; for files, answered from folder names."""
+    names = [F.col(k).cast("string").alias(k) for k in keys]
+    return {tuple(r) for r in frame.select(*names).distinct().collect()}
+
+
+def _specs(spark: SparkSession, table: str) -> set[Spec]:
+    """The partitions in a table's catalog entry, empty ones too."""
+    found = set()
+    for (name,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        parts = [unquote(p.split("=", 1)[1]) for p in name.split("/")]
+        found.add(tuple(None if p == _NO_VALUE else p for p in parts))
+    return found
+
+
+def _swap(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, touched: set[Spec]
+) -> None:
+    """Point partitions at the snapshot ``path``: its own, then drop others ``touched``.
+
+    Adding goes first: a reader may meanwhile see a moved row twice, never not at
+    all, and a swap that is broken off is completed by the next one.
+    """
+    keys = partition_columns(spark, table)
+    written = _values(spark.read.schema(schema).parquet(path), keys)
+    for row in sorted(written, key=str):
+        folder = "/".join(f"{k}={_folder(v)}" for k, v in zip(keys, row))
+        place, spec = _literal(f"{path}/{folder}"), _spec(keys, row)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {place}")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {place}")
+    for row in sorted(touched - written, key=str):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(keys, row)})")
+    spark.catalog.refreshTable(table)
+
+
 def replace_partitions(df: DataFrame, table: str, touched: DataFrame | None = None) -> None:
     """Replace some partitions of a table and leave the others as they are.
 
@@ -112,25 +161,32 @@ def replace_partitions(df: DataFrame, table: str, touched: DataFrame | None = No
     df.select(*schema.names).hint("rebalance", *[F.col(k) for k in keys]).write.partitionBy(
         *keys
     ).parquet(path)
+    _swap(spark, table, path, schema, _values(touched, keys) if touched is not None else set())
 
-    def values(frame: DataFrame) -> set[tuple[str | None, ...]]:
-        """One entry per partition; for files, answered from folder names."""
-        names = [F.col(k).cast("string").alias(k) for k in keys]
-        return {tuple(r) for r in frame.select(*names).distinct().collect()}
-
-    written = values(spark.read.schema(schema).parquet(path))
-    for row in written | (values(touched) if touched is not None else set()):
-        spec = ", ".join(
-            f"`{k}` = " + ("NULL" if v is None else _literal(v)) for k, v in zip(keys, row)
-        )
-        if row not in written:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-            continue
-        folder = "/".join(f"{k}={_folder(v)}" for k, v in zip(keys, row))
-        place = _literal(f"{path}/{folder}")
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {place}")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {place}")
-    spark.catalog.refreshTable(table)
+
+def _location(spark: SparkSession, table: str, spec: str | None = None) -> str:
+    where = f" PARTITION ({spec})" if spec else ""
+    told = spark.sql(f"DESCRIBE EXTENDED {table}{where}")
+    return told.where("lower(col_name) = 'location'").first()["data_type"]
+
+
+def vacuum(spark: SparkSession, table: str, older_than: timedelta = timedelta(0)) -> int:
+    """Delete the snapshots of a table that neither it nor a partition points at;
+    tells how many.  Give ``older_than`` where others may be reading or writing it.
+    """
+    root = _snapshot_path(spark, table).rsplit("/", 1)[0]
+    keys = partition_columns(spark, table)
+    live = {_location(spark, table)}
+    live |= {_location(spark, table, _spec(keys, row)) for row in (_specs(spark, table) if keys else ())}
+    named = {part for place in live for part in place.split("/")}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = (datetime.now() - older_than).timestamp() * 1000
+    gone = 0
+    for entry in files.listStatus(folder) if files.exists(folder) else ():
+        if entry.getPath().getName() not in named and entry.getModificationTime() <= before:
+            gone += bool(files.delete(entry.getPath(), True))
+    return gone
 
 
 def insert_into(df: DataFrame, table: str) -> None:

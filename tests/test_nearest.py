@@ -78,6 +78,32 @@ def test_search_goes_as_deep_as_the_references_are_dense(spark):
     assert _depth(_points(ref_frame(spark, dense[:20]), X, Y, "name", "rid"), X, Y) == 0
 
 
+def test_both_forms_agree_off_the_map(spark):
+    inf, nan = float("inf"), float("nan")
+    refs = [(0.0, 0.0), (1e300, 1e300), (-1e300, 0.0), (inf, 0.0), (nan, 0.0), (0.01, -inf), (None, 0.0)]
+    refs += [(1.6e8, 1.6e8), (1.6e8, 1.6e8 + 0.05)]
+    points = [(0.01, 0.01), (1e300, 1e300), (inf, 0.0), (nan, nan), (None, 0.0), (0.0, None), (-1e300, 0.05)]
+    points += [(1.6e8 + 0.01, 1.6e8 + 0.04), (1.6e8, 1.6e8)]
+    for small in (100_000, 0):
+        assert found(spark, points, refs, small_refs=small) == brute(points, [(nan, nan) if a is None else (a, b) for a, b in refs])
+
+
+def test_references_on_a_ring(spark):
+    ring = [(0.06 * math.cos(k / 300), 0.06 * math.sin(k / 300)) for k in range(1800)]
+    points = [(0.0, 0.0), (0.001, 0.0), (0.05, 0.03)]
+    assert found(spark, points, ring, small_refs=0) == brute(points, ring)
+
+
+def test_rows_without_a_place_are_not_shuffled(spark):
+    refs = ref_frame(spark, [(0.1, 0.1)])
+    points = [(None, 0.1)] * 3
+    plan = nearest(
+        left_frame(spark, points), refs, X, Y, label="name", tie="rid", small_refs=0
+    )._jdf.queryExecution().sparkPlan().toString()
+    branch = plan[plan.rindex("Filter"):]
+    assert "Join" not in branch and "Aggregate" not in branch
+
+
 def test_no_references(spark):
     points = [(1.0, 1.0), (None, None)]
     for small in (100, 0):

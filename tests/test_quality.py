@@ -77,14 +77,6 @@ def test_duplicates_with_null_key(spark):
     assert duplicate_rows(df, ["id", "area"], null_safe=False).count() == 2
 
 
-def test_hot_keys_give_the_same_rows(spark, rows):
-    df = crashes(spark)
-    for safe in (True, False):
-        plain = rows(duplicate_rows(df, ["id", "area"], null_safe=safe))
-        for hot in (2, 3, 4):
-            assert rows(duplicate_rows(df, ["id", "area"], null_safe=safe, hot_rows=hot)) == plain
-
-
 def test_value_rule_reads_text(spark):
     df = spark.createDataFrame([("0.000", "0"), ("x", "0"), ("1", "0")], "lat string, lon string")
     rule = ValueRule(error_type="v", columns_checked="c", values={"lat": 0.0, "lon": 0.0}, as_type="double", **LABELS)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators.categorize import categorize
 from starloom.operators.duplicates import duplicate_rows
 from starloom.operators.joins import Lookup, lookup_default, not_in, orphan_rows, resolve_keys
 
@@ -66,9 +67,17 @@ def test_hot_key_is_split(spark, skewed, op):
     assert "skew=true" in plan, plan[:3000]
 
 
-def test_hot_duplicates_are_not_shuffled(spark, skewed):
-    df = duplicate_rows(skewed, ["k"], hot_rows=1000)
-    assert df.count() == skewed.where("k = 1").count()
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_hot_duplicates_are_split(spark, skewed):
+    # Pairs as well, so that the repeated keys are no handful.
+    df = skewed.union(skewed.where("k % 2 = 0"))
+    count, plan = executed(duplicate_rows(df, ["k"]))
+    assert count == skewed.where("k = 1").count() + 2 * skewed.where("k % 2 = 0").count()
+    assert "skew=true" in plan, plan[:3000]
+
+
+def test_hot_text_is_split_when_categorized(spark, skewed):
+    texts = skewed.select(F.concat(F.lit("m"), "k").alias("text"), "payload")
+    mapping = spark.range(0, N, 5).selectExpr("concat('m', id + 1) as value", "'c' as category", "1 as rank")
+    count, plan = executed(categorize(texts, "text", mapping))
+    assert count == N
+    assert "skew=true" in plan, plan[:3000]

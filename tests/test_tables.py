@@ -2,6 +2,7 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
+from starloom.operators.merge import apply_changes, changed_rows
 from starloom.sources.readers import incremental_read, read_json, records_to_df, scan, stamp_batch
 from starloom.sources.sinks import (
     append,
@@ -12,6 +13,7 @@ from starloom.sources.sinks import (
     register_view,
     replace_partitions,
     replace_table,
+    vacuum,
 )
 from starloom.streaming.incremental import incremental_load
 from starloom.streaming.marks import empty_marks, get_mark, next_mark, seed_mark, upsert_mark
@@ -74,6 +76,34 @@ def test_replace_partitions_by_date(spark, rows, db):
     assert rows(spark.table("t")) == [("a", date(2024, 1, 1)), ("z", date(2024, 2, 1))]
 
 
+def test_vacuum_leaves_what_is_pointed_at(spark, rows, db):
+    def frame(*data):
+        return spark.createDataFrame(list(data), "v int, p string")
+
+    for n in range(3):
+        replace_table(frame((n, "a"), (n, "b")), "kept", ["p"])
+    replace_partitions(frame((7, "b")), "kept")
+    replace_table(frame((1, "x")), "plain")
+    replace_table(frame((2, "x")), "plain")
+    assert vacuum(spark, "kept", timedelta(hours=1)) == 0
+    assert vacuum(spark, "kept") == 2 and vacuum(spark, "plain") == 1
+    assert rows(spark.table("kept")) == [(2, "a"), (7, "b")]
+    assert rows(spark.table("plain")) == [(2, "x")]
+    replace_table(frame((9, None)), "kept", ["p"])
+    assert rows(spark.table("kept")) == [(9, None)]
+    assert vacuum(spark, "kept") == 2
+    append(frame((10, "c")), "kept")
+    assert rows(spark.table("kept")) == [(10, "c"), (9, None)]
+
+
+def test_partitions_swapped_in_half_are_repaired(spark, rows, db):
+    target = spark.createDataFrame([(1, 5, "a"), (1, 6, "b"), (2, 1, "a")], "k int, v int, p string")
+    source = spark.createDataFrame([(1, 7, "b"), (2, 1, "a")], "k int, v int, p string")
+    changes = changed_rows(target, source, ["k"], ["v", "p"], was=["p"])
+    assert rows(changes.select("_was_p")) == [("a",), ("b",)]
+    assert rows(apply_changes(target, changes, ["k"])) == [(1, 7, "b"), (2, 1, "a")]
+
+
 def test_ensure_and_ctas(spark, rows, db):
     ensure_table(spark, "t", "k string, v int", ["v"])
     assert spark.table("t").count() == 0
