@@ -8,6 +8,7 @@ from starloom.plans.queries import (  # noqa: F401
     quality,
     reports,
     shaping,
+    tables,
 )
 from starloom.plans.registry import ORACLES, QUERIES
 

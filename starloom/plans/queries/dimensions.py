@@ -263,33 +263,7 @@ def _(spark, sf):
     return _customer_versions(spark, sf, null_safe=False, reopen="next_run")
 
 
-@query(
-    "scd2_prefilter",
-    """
-    WITH dim AS (
-        SELECT ROW_NUMBER() OVER (ORDER BY c_name) AS surrogate_key, c_name AS member,
-               c_mktsegment AS category, c_custkey
-        FROM customer WHERE c_acctbal < 5000),
-    source AS (
-        SELECT '  ' || UPPER(c_name) AS member, TRIM(LOWER(c_name)) AS k,
-               CASE WHEN c_acctbal < 1000 THEN 'LOW' ELSE c_mktsegment END AS category, c_acctbal
-        FROM customer),
-    joined AS (
-        SELECT s.*, d.surrogate_key, d.category AS old
-        FROM source s LEFT JOIN dim d ON TRIM(LOWER(d.member)) = s.k),
-    added AS (
-        SELECT member, category, ROW_NUMBER() OVER (ORDER BY k) AS rn
-        FROM joined WHERE surrogate_key IS NULL OR category <> old)
-    SELECT d.surrogate_key, d.member, d.category, TIMESTAMP '2025-01-01 00:00:00' AS effective_date,
-           CASE WHEN c.c_acctbal < 1000 THEN TIMESTAMP '2025-07-04 12:00:00' END AS end_date,
-           CASE WHEN c.c_acctbal < 1000 THEN 0 ELSE 1 END AS is_current
-    FROM dim d JOIN customer c USING (c_custkey)
-    UNION ALL
-    SELECT (SELECT MAX(surrogate_key) FROM dim) + rn, member, category,
-           TIMESTAMP '2025-07-04 12:00:00', NULL, 1 FROM added
-    """,
-)
-def _(spark, sf):
+def _text_versions(spark, sf, **options):
     """Members matched on trimmed lower-case text; unchanged ones filtered out first."""
     customer = table(spark, sf, "customer")
     dim = _opened(
@@ -309,5 +283,49 @@ def _(spark, sf):
     unchanged = dim.where("is_current = 1").select(key, "category")
     source = not_in(source.select("*", key), unchanged, ["_key", "category"]).drop("_key")
     return scd2_merge(
-        dim, source, "member", ["category"], moment(NOW), key_expr=normalise_text, null_safe=False
+        dim,
+        source,
+        "member",
+        ["category"],
+        moment(NOW),
+        key_expr=normalise_text,
+        null_safe=False,
+        **options,
     )
+
+
+def _text_versions_sql(added: str) -> str:
+    return f"""
+    WITH dim AS (
+        SELECT ROW_NUMBER() OVER (ORDER BY c_name) AS surrogate_key, c_name AS member,
+               c_mktsegment AS category, c_custkey
+        FROM customer WHERE c_acctbal < 5000),
+    source AS (
+        SELECT '  ' || UPPER(c_name) AS member, TRIM(LOWER(c_name)) AS k,
+               CASE WHEN c_acctbal < 1000 THEN 'LOW' ELSE c_mktsegment END AS category, c_acctbal
+        FROM customer),
+    joined AS (
+        SELECT s.*, d.surrogate_key, d.category AS old
+        FROM source s LEFT JOIN dim d ON TRIM(LOWER(d.member)) = s.k),
+    numbered AS (
+        SELECT *, ROW_NUMBER() OVER (ORDER BY k) AS rn
+        FROM joined WHERE surrogate_key IS NULL OR category <> old),
+    added AS (SELECT * FROM numbered WHERE {added})
+    SELECT d.surrogate_key, d.member, d.category, TIMESTAMP '2025-01-01 00:00:00' AS effective_date,
+           CASE WHEN c.c_acctbal < 1000 THEN TIMESTAMP '2025-07-04 12:00:00' END AS end_date,
+           CASE WHEN c.c_acctbal < 1000 THEN 0 ELSE 1 END AS is_current
+    FROM dim d JOIN customer c USING (c_custkey)
+    UNION ALL
+    SELECT (SELECT MAX(surrogate_key) FROM dim) + rn, member, category,
+           TIMESTAMP '2025-07-04 12:00:00', NULL, 1 FROM added
+    """
+
+
+@query("scd2_prefilter", _text_versions_sql("TRUE"))
+def _(spark, sf):
+    return _text_versions(spark, sf)
+
+
+@query("scd2_prefilter_next_run", _text_versions_sql("surrogate_key IS NULL"))
+def _(spark, sf):
+    return _text_versions(spark, sf, reopen="next_run")

@@ -7,7 +7,7 @@ one runs only after success, and every stage can be run again.
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -266,10 +266,22 @@ def factor_members(silver: DataFrame, cfg: CrashWarehouse) -> DataFrame:
     return categorize(members, "factor", cfg.factor_categories)
 
 
+def calendar_days(silver: DataFrame, cfg: CrashWarehouse) -> tuple[date, date]:
+    """First and last day of the calendar: ``cfg.calendar``, stretched by whole
+    years to hold every crash (not under ``parity``), so that no report loses one.
+    """
+    first, last = cfg.calendar
+    day = F.col("crash_date").cast("date")
+    low, high = (None, None) if cfg.parity else silver.agg(F.min(day), F.max(day)).first()
+    if low is not None:
+        first, last = min(first, date(low.year, 1, 1)), max(last, date(high.year, 12, 31))
+    return first, last
+
+
 def dimensions(spark: SparkSession, cfg: CrashWarehouse, now: datetime, street: bool = False) -> None:
     """Bring the calendar and all versioned dimensions up to date."""
     silver = spark.table(cfg.silver)
-    replace_table(date_dim(spark, *cfg.calendar), cfg.dim_date)
+    replace_table(date_dim(spark, *calendar_days(silver, cfg)), cfg.dim_date)
     mode = "next_run" if cfg.parity else "same_run"
     safe = not cfg.parity
 
@@ -418,12 +430,22 @@ def missing_location_keys(spark: SparkSession, cfg: CrashWarehouse, since) -> Da
 
 
 def crash_model(spark: SparkSession, cfg: CrashWarehouse) -> StarModel:
-    """The curated model over the street variants, versioning columns hidden."""
+    """The curated model over the street variants, versioning columns hidden.
+
+    A column is shown as its dimension and its name in the model, as
+    ``Factor_Surrogate_key``: several dimensions use the same names.
+    """
     t = spark.table
     scd = {"effective_date", "end_date", "is_current"}
 
     def shown(name: str, prefix: str, hidden=frozenset()) -> dict[str, str]:
-        return {f"{prefix}_{c}": c for c in t(name).columns if c not in hidden}
+        # Calendar and factors are capitalised, but for the year.
+        title = prefix in ("Date", "Factor")
+        return {
+            f"{prefix}_{c.capitalize() if title and c != 'year' else c}": c
+            for c in t(name).columns
+            if c not in hidden
+        }
 
     return StarModel(
         fact=t(cfg.fact_street),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.plans.crashes import BRONZE_SCHEMA, STREET_SCHEMA, CrashWarehouse, quality_rules
 from starloom.plans.warehouse import (
+    calendar_days,
     crash_model,
     crash_report,
     missing_location_keys,
@@ -217,3 +218,11 @@ def test_empty_source(spark, db):
         assert spark.table(name).isEmpty()
     assert run_pipeline(crashes(spark), cfg, DAY2) is True
     assert spark.table(cfg.fact).count() == 5
+
+
+def test_calendar_holds_every_crash(spark, db):
+    cfg = config(spark)
+    days = spark.createDataFrame([("2009-12-31",), ("2031-02-03",), (None,)], "crash_date string")
+    assert calendar_days(days, cfg) == (date(2009, 1, 1), date(2031, 12, 31))
+    assert calendar_days(days.limit(0), cfg) == cfg.calendar
+    assert calendar_days(days, config(spark, parity=True)) == cfg.calendar
