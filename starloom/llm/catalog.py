@@ -2,6 +2,7 @@
 
 from starloom.llm import (  # noqa: F401
     bpe,
+    collocations,
     decontaminate,
     licenses,
     line_crf,
