@@ -41,7 +41,8 @@ TOP = 2000  # phrases per language
 INSIDE = 50  # per cent of a phrase's occurrences within a longer one that drop it
 
 RANGE_BYTES = 8 << 20  # of text per range of fingerprints
-TASK_GRAMS = 6_000_000  # n-grams that a task sums up at once
+PART_BYTES = 2 << 20  # of text that numpy handles at once
+TASK_GRAMS = 3_000_000  # n-grams that a task sums up at once
 FILTER_WORDS = 1 << 22  # of 64 bits: at most 32 MB go to each task
 KEYS_A_WORD = 4
 
@@ -143,7 +144,7 @@ class Grams:
 def _parts(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[tuple[list[str], Grams]]:
     """The texts' n-grams, some megabytes at a time, and their languages."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", PART_BYTES):
             coded = part.column("lang").dictionary_encode()
             names = coded.dictionary.to_pylist()
             seeds = [int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "little") for x in names]
@@ -187,7 +188,12 @@ def _sketch(batches: Iterator[pa.RecordBatch], ranges: int, bits: int) -> Iterat
     edges = np.array([min(k * width, (1 << 64) - 1) for k in range(1, ranges)], np.uint64)
 
     def rows(held: list[np.ndarray]) -> pa.RecordBatch:
-        prints, counts = np.unique(np.concatenate(held), return_counts=True)
+        prints = np.concatenate(held)
+        held.clear()
+        prints.sort()
+        first = np.flatnonzero(np.concatenate(([True], prints[1:] != prints[:-1])))
+        counts = np.diff(first, append=len(prints))
+        prints = prints[first]
         cuts = [0, *np.searchsorted(prints, edges).tolist(), len(prints)]
         some = [k for k in range(ranges) if cuts[k + 1] > cuts[k]]
         data = [pack(prints[cuts[k] : cuts[k + 1]], counts[cuts[k] : cuts[k + 1]]) for k in some]
@@ -201,7 +207,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], ranges: int, bits: int) -> Iterat
             n += len(held[-1])
         if n >= TASK_GRAMS:
             yield rows(held)
-            held, n = [], 0
+            n = 0
     if n:
         yield rows(held)
 
@@ -210,7 +216,9 @@ def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Reco
     """Fingerprints met ``least`` times; rows come sorted by range."""
 
     def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        prints, counts = _summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        prints, counts = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        prints, counts = _summed(prints, counts)
         return pa.RecordBatch.from_arrays([pa.array(prints[counts >= least].view(np.int64))], ["print"])
 
     now, held = None, []
@@ -218,7 +226,6 @@ def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Reco
         for k, data in zip(batch.column("range").to_pylist(), batch.column("grams"), strict=True):
             if k != now and held:
                 yield merged(held)
-                held = []
             now = k
             held.append(unpack(data.as_py()))
     if held:
