@@ -10,6 +10,7 @@ from starloom.llm import (  # noqa: F401
     pack,
     quality_rules,
     secrets,
+    treap_search,
     warc,
     wordpiece,
 )
