@@ -11,6 +11,7 @@ from starloom.llm import (  # noqa: F401
     quality_rules,
     secrets,
     treap_search,
+    url_filter,
     warc,
     wordpiece,
 )
