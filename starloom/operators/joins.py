@@ -68,6 +68,11 @@ class Lookup:
     take: dict[str, str] = field(default_factory=dict)
     current_only: bool = True
 
+    @property
+    def reads(self) -> list[Column | str]:
+        """What the lookup needs of a fact."""
+        return [f for f, _ in self.pairs]
+
     def prepared(self, tag: str) -> tuple[DataFrame, Column]:
         """The dimension under collision-free names, and the join condition."""
         dim = self.dim.where("is_current = 1") if self.current_only else self.dim
@@ -80,14 +85,18 @@ class Lookup:
         )
         return dim, match
 
+    def attach(self, fact: DataFrame, tag: str, how: str) -> DataFrame:
+        """``fact`` with what the lookup takes."""
+        dim, match = self.prepared(tag)
+        return fact.join(dim, match, how)
+
 
 def star_join(fact: DataFrame, lookups: Sequence[Lookup], how: str = "inner") -> DataFrame:
     """Join a fact with its dimensions, keeping fact columns and what each lookup takes."""
     out, names = fact, list(fact.columns)
     for i, lookup in enumerate(lookups):
-        dim, match = lookup.prepared(f"dim{i}")
         names += lookup.take
-        out = out.join(dim, match, how)
+        out = lookup.attach(out, f"dim{i}", how)
     return out.select(*names)
 
 

@@ -70,7 +70,7 @@ def star_report(
     if large:
         taken = {t for lookup in large for t in lookup.take}
         # Bare fact columns the large lookups match on.
-        keys = [f if isinstance(f, str) else None for lookup in large for f, _ in lookup.pairs]
+        keys = [f if isinstance(f, str) else None for lookup in large for f in lookup.reads]
         if None in keys:
             raise ValueError("a large lookup must match on plain fact columns")
         kept = list(dict.fromkeys([c for c in by if c not in taken] + keys))

@@ -248,6 +248,10 @@ class CrashWarehouse:
     the error log, only records lacking both coordinates logged, two-run
     versioning, change tests that ignore NULLs, loads that never look back, and
     records without a collision number, which by default are rejected.
+
+    ``fact_versions`` says which version of a member a fact points at: the
+    ``current`` one, to which old facts move when a member changes, or the one
+    that held ``on_day`` of the crash (before a member's first version: the first).
     """
 
     boroughs: DataFrame
@@ -275,3 +279,4 @@ class CrashWarehouse:
     fact_street: str = "fact_crashes_street"
     calendar: tuple[date, date] = (date(2010, 1, 1), date(2030, 12, 31))
     parity: bool = False
+    fact_versions: str = "current"

@@ -12,6 +12,7 @@ from starloom.operators.joins import Lookup, lookup_default, orphan_report, reso
 from starloom.operators.keys import assign_keys
 from starloom.operators.merge import apply_changes, changed_rows, upsert
 from starloom.operators.predicates import where_since
+from starloom.operators.versions import VersionLookup
 from starloom.plans.queries.inputs import moment
 from starloom.plans.registry import query, table
 
@@ -74,6 +75,67 @@ def _(spark, sf):
     return _resolved(spark, sf)
 
 
+def _versions(spark, sf):
+    """Three versions per customer, at dates its number gives; some leave a gap."""
+    base = table(spark, sf, "customer").withColumn(
+        "first_day", F.expr("timestampadd(DAY, c_custkey % 900, timestamp_ntz'1994-06-01 00:00:00')")
+    )
+    second = F.expr("timestampadd(DAY, 200 + c_custkey % 700, first_day)")
+    third = F.expr("timestampadd(HOUR, 17 * (c_custkey % 997) + 9, second)")
+    pause = F.expr("timestampadd(DAY, 90 * cast(c_custkey % 5 = 0 as int), second)")
+    dated = base.withColumns({"second": second}).withColumns({"third": third, "resumed": pause})
+    number = F.col("c_custkey") * 10
+    never = F.lit(None).cast("timestamp_ntz")
+    spans = (
+        (F.col("first_day"), F.col("second")),
+        (F.least("resumed", "third"), F.col("third")),
+        (F.col("third"), never),
+    )
+    rows = [
+        F.struct((number + k).alias("version_key"), since.alias("since"), till.alias("till"))
+        for k, (since, till) in enumerate(spans, 1)
+    ]
+    return dated.select(F.col("c_custkey").alias("member"), F.inline(F.array(*rows)))
+
+
+@query(
+    "resolve_versions",
+    """
+    WITH a AS (SELECT c_custkey, TIMESTAMP '1994-06-01 00:00:00' + to_days(CAST(c_custkey % 900 AS INTEGER)) AS d1
+               FROM customer),
+    b AS (SELECT *, d1 + to_days(CAST(200 + c_custkey % 700 AS INTEGER)) AS d2 FROM a),
+    c AS (SELECT *, d2 + to_hours(CAST(17 * (c_custkey % 997) + 9 AS INTEGER)) AS d3 FROM b),
+    v AS (SELECT c_custkey, c_custkey * 10 + 1 AS k, d1 AS since, d2 AS till FROM c
+          UNION ALL
+          SELECT c_custkey, c_custkey * 10 + 2,
+                 least(CASE WHEN c_custkey % 5 = 0 THEN d2 + to_days(90) ELSE d2 END, d3), d3 FROM c
+          UNION ALL SELECT c_custkey, c_custkey * 10 + 3, d3, NULL FROM c)
+    SELECT o_orderkey, o_orderdate, v.k AS version_key,
+           CASE WHEN o_orderdate < d1 THEN c.c_custkey * 10 + 1 ELSE v.k END AS earliest_key
+    FROM orders LEFT JOIN c ON c.c_custkey = o_custkey
+    LEFT JOIN v ON v.c_custkey = o_custkey AND since <= o_orderdate
+               AND (till IS NULL OR o_orderdate < till)
+    """,
+)
+def _(spark, sf):
+    """Orders with the version of their customer that held on the day of the order."""
+    versions = _versions(spark, sf)
+    found = {
+        name: VersionLookup(
+            versions,
+            [("o_custkey", "member")],
+            {name: "version_key"},
+            day="o_orderdate",
+            start="since",
+            end="till",
+            early=early,
+        )
+        for name, early in (("version_key", "none"), ("earliest_key", "first"))
+    }
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return resolve_keys(orders, list(found.values())).drop("o_custkey")
+
+
 @query(
     "null_key_audit",
     f"""

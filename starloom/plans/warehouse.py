@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import date, datetime, timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,7 @@ from starloom.operators.quality import (
     log_errors,
 )
 from starloom.operators.star import ModelDim, StarModel, dimension_members, star_report
+from starloom.operators.versions import VersionLookup
 from starloom.plans.crashes import (
     BRONZE_SCHEMA,
     CRASH_COLUMNS,
@@ -321,6 +322,12 @@ def dimensions(spark: SparkSession, cfg: CrashWarehouse, now: datetime, street:
 def crash_lookups(spark: SparkSession, cfg: CrashWarehouse, street: bool = False) -> list[Lookup]:
     """How a crash finds its calendar, factor, vehicle and location rows."""
     location = cfg.dim_location_street if street else cfg.dim_location
+    if cfg.fact_versions not in ("current", "on_day"):
+        raise ValueError(f"fact_versions must be 'current' or 'on_day', not {cfg.fact_versions!r}")
+    if cfg.fact_versions == "on_day":
+        member = partial(VersionLookup, day="crash_date", early="first")
+    else:
+        member = Lookup
     return [
         Lookup(
             spark.table(cfg.dim_date),
@@ -328,17 +335,17 @@ def crash_lookups(spark: SparkSession, cfg: CrashWarehouse, street: bool = False
             {"date_key": "date_key", "year": "year"},
             current_only=False,
         ),
-        Lookup(
+        member(
             spark.table(cfg.dim_factor),
             [(normalise_text("contributing_factor_vehicle_1"), normalise_text("factor"))],
             {"factor_key": "surrogate_key"},
         ),
-        Lookup(
+        member(
             spark.table(cfg.dim_vehicle),
             [(normalise_text("vehicle_type_code1"), normalise_text("vehicle_type"))],
             {"vehicle_key": "surrogate_key"},
         ),
-        Lookup(
+        member(
             spark.table(location),
             [(concat_key("latitude", "longitude"), "log_lat")],
             {"location_key": "surrogate_key"},
@@ -408,10 +415,10 @@ def crash_report(spark: SparkSession, cfg: CrashWarehouse, by_month: bool = True
     period = ["year", "month_name"] if by_month else ["year"]
     date, factor, vehicle, location = crash_lookups(spark, cfg)
     lookups = [
-        Lookup(date.dim, date.pairs, {p: p for p in period}, current_only=False),
-        Lookup(factor.dim, factor.pairs, {"factor_category": "category"}),
-        Lookup(vehicle.dim, vehicle.pairs, {"vehicle_category": "category"}),
-        Lookup(location.dim, location.pairs, {"dim_borough": "borough"}),
+        replace(date, take={p: p for p in period}),
+        replace(factor, take={"factor_category": "category"}),
+        replace(vehicle, take={"vehicle_category": "category"}),
+        replace(location, take={"dim_borough": "borough"}),
     ]
     by = [*period, "factor_category", "vehicle_category", "dim_borough"]
     return star_report(
