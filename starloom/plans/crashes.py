@@ -33,6 +33,9 @@ STREET_COLUMNS = ("collision_id", "on_street_name", "crash_date")
 BRONZE_SCHEMA = ", ".join(f"{c} string" for c in CRASH_COLUMNS)
 STREET_SCHEMA = ", ".join(f"{c} string" for c in STREET_COLUMNS)
 
+#: A batch of records is a partition of the source table.
+BATCH = "extraction_timestamp"
+
 LOG_SCHEMA = """
     table_name string, error_timestamp timestamp, error_type string, severity string,
     columns_checked string, row_identifier string, error_description string,
@@ -277,6 +280,10 @@ class CrashWarehouse:
     dim_location_street: str = "dim_location_street"
     fact: str = "fact_crashes"
     fact_street: str = "fact_crashes_street"
+    changes: str = "silver_changes"
+    ledger: str = "propagated_batches"
+    zones: str = "silver_zones"
+    members: str = "silver_members"
     calendar: tuple[date, date] = (date(2010, 1, 1), date(2030, 12, 31))
     parity: bool = False
     fact_versions: str = "current"

@@ -34,6 +34,7 @@ from starloom.operators.quality import (
 from starloom.operators.star import ModelDim, StarModel, dimension_members, star_report
 from starloom.operators.versions import VersionLookup
 from starloom.plans.crashes import (
+    BATCH,
     BRONZE_SCHEMA,
     CRASH_COLUMNS,
     FACT_COLUMNS,
@@ -73,13 +74,18 @@ def seed_marks(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> bool:
 
 
 def extract(
-    crashes: DataFrame, cfg: CrashWarehouse, now: datetime, streets: DataFrame | None = None
+    crashes: DataFrame,
+    cfg: CrashWarehouse,
+    now: datetime,
+    streets: DataFrame | None = None,
+    held: DataFrame | None = None,
 ) -> bool:
     """Append source records above the mark; tells whether crashes came in.
 
     Marks are days.  The last day loaded is looked at again, and records that
     are there already are skipped, so what is published late is not lost.
-    Records whose day cannot be read are kept aside, see ``rejected``.
+    Records whose day cannot be read are kept aside, see ``rejected``.  ``held``
+    are the stored records that the new ones may repeat, if that is known.
     """
     spark = crashes.sparkSession
     seed_marks(spark, cfg, now)
@@ -94,6 +100,8 @@ def extract(
         mark_col="crash_date",
         columns=CRASH_COLUMNS,
         batch_ts=now,
+        partition_by=[BATCH],
+        held=held,
         **again(CRASH_COLUMNS),
     )
     replace_table(unmarked(crashes, "crash_date", CRASH_COLUMNS), cfg.unmarked)
@@ -217,7 +225,7 @@ def transform(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> None:
         unread = spark.table(cfg.unmarked)
     else:
         unread = bronze.select(*CRASH_COLUMNS).limit(0)
-    replace_table(rejected(bronze, unread), cfg.rejects)
+    replace_table(rejected(bronze, unread), cfg.rejects, ["reason"])
     replace_table(silver_crashes(spark.table(cfg.bronze), cfg), cfg.silver, ["crash_month"])
 
 
@@ -279,10 +287,21 @@ def calendar_days(silver: DataFrame, cfg: CrashWarehouse) -> tuple[date, date]:
     return first, last
 
 
-def dimensions(spark: SparkSession, cfg: CrashWarehouse, now: datetime, street: bool = False) -> None:
-    """Bring the calendar and all versioned dimensions up to date."""
-    silver = spark.table(cfg.silver)
-    replace_table(date_dim(spark, *calendar_days(silver, cfg)), cfg.dim_date)
+def dimensions(
+    spark: SparkSession,
+    cfg: CrashWarehouse,
+    now: datetime,
+    street: bool = False,
+    members: DataFrame | None = None,
+    days: tuple[date, date] | None = None,
+) -> None:
+    """Bring the calendar and all versioned dimensions up to date.
+
+    They need silver's distinct members and its span of days only, which a job
+    that keeps count of them hands over as ``members`` and ``days``.
+    """
+    silver = spark.table(cfg.silver) if members is None else members
+    replace_table(date_dim(spark, *(days or calendar_days(silver, cfg))), cfg.dim_date)
     mode = "next_run" if cfg.parity else "same_run"
     safe = not cfg.parity
 
@@ -400,7 +419,7 @@ def run_pipeline(
     before = intermediates()
     loaded = extract(crashes, cfg, now, streets)
     if not spark.catalog.tableExists(cfg.bronze):
-        ensure_table(spark, cfg.bronze, BRONZE_SCHEMA + ", extraction_timestamp string")
+        ensure_table(spark, cfg.bronze, f"{BRONZE_SCHEMA}, {BATCH} string", [BATCH])
     transform(spark, cfg, now)
     dimensions(spark, cfg, now, street)
     load_fact(spark, cfg)

@@ -126,6 +126,11 @@ def _specs(spark: SparkSession, table: str) -> set[Spec]:
     return found
 
 
+def partition_values(spark: SparkSession, table: str) -> list[str | None]:
+    """The values of a table's one partition column as text, from the catalog alone."""
+    return sorted((spec[0] for spec in _specs(spark, table)), key=str)
+
+
 def _swap(
     spark: SparkSession, table: str, path: str, schema: T.StructType, touched: set[Spec]
 ) -> None:

@@ -26,6 +26,8 @@ def incremental_load(
     default: Any = DEFAULT_MARK,
     lookback: timedelta | None = None,
     key: Sequence[str] | None = None,
+    partition_by: Sequence[str] = (),
+    held: DataFrame | None = None,
 ) -> bool:
     """Append the rows of ``source`` above the mark and move the mark.
 
@@ -34,6 +36,8 @@ def incremental_load(
     False is returned.  ``key`` makes a repeated or reached-back load skip rows
     the table already holds, NULLs being equal; a load that failed before its
     mark moved is repeated without harm.  Late rows do not move a mark back.
+    ``partition_by`` is the layout of a table that does not exist yet.  ``held``
+    are the table's rows that may meet the batch; all of them if not given.
     """
     spark = source.sparkSession
     known = spark.catalog.tableExists(marks_table)
@@ -41,7 +45,7 @@ def incremental_load(
     last = get_mark(marks, table, default)
     batch = incremental_read(source, mark_col, last, columns, lookback=lookback)
     if key and spark.catalog.tableExists(table):
-        held = spark.table(table)
+        held = spark.table(table) if held is None else held
         if lookback is not None:  # older rows cannot meet the batch
             reach = mark_literal(held, mark_col, last) - F.expr(
                 f"make_dt_interval(0, 0, 0, {lookback.total_seconds()})"
@@ -53,7 +57,7 @@ def incremental_load(
     if upper["top"] is None:
         return False
     batch = batch.where(value <= mark_literal(batch, mark_col, upper["top"]))
-    append(stamp_batch(batch, batch_ts), table)
+    append(stamp_batch(batch, batch_ts), table, partition_by)
     before = get_mark(marks, table, None)
     mark = upper["mark"] if before is None else max(before, upper["mark"])
     moved = spark.createDataFrame([(table, mark, batch_ts)], marks.schema)
