@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import clock_text, iso_date
@@ -240,6 +240,20 @@ def vehicle_map(spellings: DataFrame) -> DataFrame:
     return spellings.select("value", "category", rank.alias("rank"))
 
 
+def read_spellings(spark: SparkSession, path: str) -> DataFrame:
+    """``(value, category)`` from a JSON file ``{category: [spelling, ...]}``.
+
+    The list that stands for vehicles is data of several hundred entries, so it is
+    kept in a file beside the job and not in this library.
+    """
+    whole = spark.read.text(path, wholetext=True).select(
+        F.from_json("value", "map<string, array<string>>").alias("lists")
+    )
+    return whole.select(F.explode("lists").alias("category", "values")).select(
+        F.explode("values").alias("value"), "category"
+    )
+
+
 @dataclass(frozen=True)
 class CrashWarehouse:
     """Table names, inputs and choices of one warehouse.
@@ -255,6 +269,9 @@ class CrashWarehouse:
     ``fact_versions`` says which version of a member a fact points at: the
     ``current`` one, to which old facts move when a member changes, or the one
     that held ``on_day`` of the crash (before a member's first version: the first).
+
+    With ``typing_errors`` a vehicle that is not listed gets the category of the
+    listed spelling one or two edits away.
     """
 
     boroughs: DataFrame
@@ -287,3 +304,4 @@ class CrashWarehouse:
     calendar: tuple[date, date] = (date(2010, 1, 1), date(2030, 12, 31))
     parity: bool = False
     fact_versions: str = "current"
+    typing_errors: bool = False

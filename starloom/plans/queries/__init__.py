@@ -9,6 +9,7 @@ from starloom.plans.queries import (  # noqa: F401
     reports,
     shaping,
     tables,
+    warehouse,
 )
 from starloom.plans.registry import ORACLES, QUERIES
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.columns import clock_text, iso_date, normalise_text
 from starloom.operators.categorize import categorize
+from starloom.operators.fuzzy import fuzzy_categorize
 from starloom.operators.columns import (
     annotate,
     cast_failures,
@@ -297,3 +298,52 @@ def _(spark, sf):
     return head_n(
         table(spark, sf, "orders"), 1000, ["o_totalprice", "o_orderkey"], descending=["o_totalprice"]
     ).select("o_orderkey", "o_totalprice")
+
+
+def _mistyped(spark, sf):
+    """Nation names as parts misspell them: letters lost, changed or added by number."""
+    name, at = F.lower("n_name"), (F.col("p_partkey") % 11 + 1).cast("int")
+    kind = (F.col("p_partkey") % 8).cast("int")
+    lost = F.overlay(name, F.lit(""), at, F.lit(1))
+    changed = F.overlay(name, F.lit("x"), at, F.lit(1))
+    added = F.overlay(name, F.lit("q"), at, F.lit(0))
+    twice = F.overlay(lost, F.lit("zz"), F.lit(2), F.lit(1))
+    typed = F.element_at(F.array(name, lost, changed, added, twice, F.reverse(lost), F.upper(changed), F.lit("")), kind + 1)
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    part = table(spark, sf, "part")
+    return part.join(nation, F.col("p_partkey") % 25 == F.col("n_nationkey")).select("p_partkey", typed.alias("typed"))
+
+
+_MISTYPED = """
+named AS (SELECT p_partkey, lower(n_name) AS name, CAST(p_partkey % 11 + 1 AS INTEGER) AS pos
+          FROM part JOIN nation ON p_partkey % 25 = n_nationkey),
+cut AS (SELECT *, substr(name, 1, pos - 1) || substr(name, pos + 1) AS lost,
+               substr(name, 1, pos - 1) || 'x' || substr(name, pos + 1) AS changed,
+               substr(name, 1, pos - 1) || 'q' || substr(name, pos) AS added FROM named),
+typed AS (SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN name WHEN 1 THEN lost WHEN 2 THEN changed WHEN 3 THEN added
+                 WHEN 4 THEN substr(lost, 1, 1) || 'zz' || substr(lost, 3) WHEN 5 THEN reverse(lost)
+                 WHEN 6 THEN upper(changed) ELSE '' END AS typed FROM cut),
+spelled AS (SELECT lower(n_name) AS value, r_name AS category FROM nation JOIN region ON r_regionkey = n_regionkey),
+best AS (
+    SELECT text, arg_min(category, (edits, value)) AS category
+    FROM (SELECT text, value, category, levenshtein(text, value) AS edits
+          FROM (SELECT DISTINCT trim(lower(typed)) AS text FROM typed), spelled)
+    WHERE edits <= CASE WHEN length(text) >= 7 THEN 2 WHEN length(text) >= 4 THEN 1 ELSE 0 END GROUP BY text)"""
+
+
+@query(
+    "fuzzy_categorize",
+    f"""
+    WITH {_MISTYPED}
+    SELECT p_partkey, typed, COALESCE(category, 'Uncategorized') AS category
+    FROM typed LEFT JOIN best ON text = trim(lower(typed))
+    """,
+)
+def _(spark, sf):
+    """Misspelt nations get the region of the nearest spelling; SQL compares all pairs."""
+    spelled = (
+        table(spark, sf, "nation")
+        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.lower("n_name").alias("value"), F.col("r_name").alias("category"), F.lit(1).alias("rank"))
+    )
+    return fuzzy_categorize(_mistyped(spark, sf), "typed", spelled, normalize=normalise_text)

@@ -73,6 +73,34 @@ def _(spark, sf):
     return lines.unionByName(plain)
 
 
+@query(
+    "json_multiline",
+    """
+    SELECT CAST(r_regionkey AS INTEGER) AS region, r_name AS name, n_name AS nation, note
+    FROM region JOIN nation ON n_regionkey = r_regionkey
+    LEFT JOIN (VALUES (0, 'first'), (2, NULL), (9, 'nowhere')) AS t(k, note) ON k = r_regionkey
+    """,
+)
+def _(spark, sf):
+    """A document per region over several lines, read whole; literal rows beside it."""
+    folder = f"{shared_folder(spark)}/starloom-json-{uuid4().hex}"
+    nation = table(spark, sf, "nation")
+    documents = (
+        table(spark, sf, "region")
+        .join(nation, F.col("n_regionkey") == F.col("r_regionkey"))
+        .groupBy(F.col("r_regionkey").cast("int").alias("region"), F.col("r_name").alias("name"))
+        .agg(F.collect_list(F.struct(F.col("n_name").alias("nation"))).alias("nations"))
+    )
+    text = F.replace(F.to_json(F.struct("*"), {"pretty": "true"}), F.lit("\r"), F.lit(""))
+    # A file holds one document, so each is a partition of its own.
+    documents.select("region", text.alias("value")).write.partitionBy("region").text(folder)
+    schema = "region int, name string, nations array<struct<nation string>>"
+    read = read_json(spark, f"{folder}/*", schema, multiline=True)
+    notes = records_to_df(spark, [(0, "first"), (2, None), (9, "nowhere")], "region int, note string")
+    flat = read.select("region", "name", F.inline("nations"))
+    return flat.join(notes, "region", "left").select("region", "name", "nation", "note")
+
+
 @query(
     "table_round_trip",
     """

@@ -18,6 +18,7 @@ from starloom.operators.categorize import categorize
 from starloom.operators.clean import CleanSpec, clean
 from starloom.operators.columns import cast_failures, normalize_case
 from starloom.operators.dates import date_dim
+from starloom.operators.fuzzy import fuzzy_categorize
 from starloom.operators.joins import Lookup, lookup_default, resolve_keys, star_join
 from starloom.operators.merge import apply_changes, changed_rows, scd2_merge
 from starloom.operators.nearest import Axis, fill_from_nearest
@@ -261,7 +262,8 @@ def vehicle_members(silver: DataFrame, cfg: CrashWarehouse) -> DataFrame:
     )
     spellings = cfg.vehicle_spellings
     mapping = vehicle_map(spellings) if isinstance(spellings, DataFrame) else spellings
-    return categorize(members, "vehicle_type", mapping, normalize=normalise_text)
+    sorted_in = fuzzy_categorize if cfg.typing_errors else categorize
+    return sorted_in(members, "vehicle_type", mapping, normalize=normalise_text)
 
 
 def factor_members(silver: DataFrame, cfg: CrashWarehouse) -> DataFrame:

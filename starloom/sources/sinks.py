@@ -126,6 +126,10 @@ def _specs(spark: SparkSession, table: str) -> set[Spec]:
     return found
 
 
+#: Partitions that one statement adds or drops.
+_AT_ONCE = 500
+
+
 def partition_values(spark: SparkSession, table: str) -> list[str | None]:
     """The values of a table's one partition column as text, from the catalog alone."""
     return sorted((spec[0] for spec in _specs(spark, table)), key=str)
@@ -140,14 +144,26 @@ def _swap(
     all, and a swap that is broken off is completed by the next one.
     """
     keys = partition_columns(spark, table)
-    written = _values(spark.read.schema(schema).parquet(path), keys)
-    for row in sorted(written, key=str):
+    written = sorted(_values(spark.read.schema(schema).parquet(path), keys), key=str)
+    known = _specs(spark, table)
+
+    def spec(row: Spec) -> str:
+        return f"PARTITION ({_spec(keys, row)})"
+
+    def place(row: Spec) -> str:
         folder = "/".join(f"{k}={_folder(v)}" for k, v in zip(keys, row))
-        place, spec = _literal(f"{path}/{folder}"), _spec(keys, row)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {place}")
-        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {place}")
-    for row in sorted(touched - written, key=str):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(keys, row)})")
+        return "LOCATION " + _literal(f"{path}/{folder}")
+
+    def several(command: str, parts: list[str], sep: str) -> None:
+        for k in range(0, len(parts), _AT_ONCE):
+            spark.sql(f"ALTER TABLE {table} {command} {sep.join(parts[k : k + _AT_ONCE])}")
+
+    several("ADD IF NOT EXISTS", [f"{spec(r)} {place(r)}" for r in written if r not in known], " ")
+    for row in written:
+        if row in known:
+            spark.sql(f"ALTER TABLE {table} {spec(row)} SET {place(row)}")
+    gone = sorted(touched - set(written), key=str)
+    several("DROP IF EXISTS", [spec(row) for row in gone], ", ")
     spark.catalog.refreshTable(table)
 
 
