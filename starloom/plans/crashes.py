@@ -270,6 +270,9 @@ class CrashWarehouse:
     ``current`` one, to which old facts move when a member changes, or the one
     that held ``on_day`` of the crash (before a member's first version: the first).
 
+    With ``borough_areas``, polygons ``(area, rings)``, a missing borough is that of
+    the area the crash lies in, and of the nearest reference point outside all.
+
     With ``typing_errors`` a vehicle that is not listed gets the category of the
     listed spelling one or two edits away.
     """
@@ -305,3 +308,5 @@ class CrashWarehouse:
     parity: bool = False
     fact_versions: str = "current"
     typing_errors: bool = False
+    borough_areas: DataFrame | None = None
+    area_cell: float = 0.01

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.functions.geo import flatten_features
+from starloom.operators.areas import area_edges, area_index, within_areas
 from starloom.operators.nearest import Axis, band_join, fill_from_nearest, nearest
 from starloom.plans.queries.inputs import DIRTY_CUSTOMER, dirty_customer
 from starloom.plans.registry import query, table
@@ -106,3 +107,58 @@ def _(spark, sf):
         ).alias("features"),
     )
     return flatten_features(collections, keep=("vec_id",))
+
+
+#: A bent outline with a hole, and a triangle apart, within a square of ten by ten.
+_OUTLINE = ((0.0, 0.0), (7.3, 1.1), (9.1, 6.2), (5.2, 4.4), (3.9, 9.0), (1.2, 6.7))
+_HOLE = ((2.1, 2.3), (4.4, 2.2), (3.1, 3.9))
+_APART = ((8.0, 8.0), (9.9, 8.3), (8.6, 9.7))
+
+
+def _areas(spark, sf):
+    """A polygon with a hole per nation, and a second one for every third."""
+
+    def ring(points):
+        shift = [(F.col("n_nationkey") % 5) * 10, F.floor(F.col("n_nationkey") / 5) * 10]
+        return F.array(*[F.array(*[(F.lit(v) + s).cast("double") for v, s in zip(p, shift)]) for p in points])
+
+    one = F.array(ring(_OUTLINE), ring(_HOLE))
+    two = F.array(ring(_OUTLINE), ring(_HOLE), ring(_APART))
+    return table(spark, sf, "nation").select(
+        F.col("n_name").alias("area"), F.when(F.col("n_nationkey") % 3 == 0, two).otherwise(one).alias("rings")
+    )
+
+
+_SIDES = ", ".join(
+    f"({k}, {a[0]}, {a[1]}, {b[0]}, {b[1]})"
+    for k, ring in enumerate((_OUTLINE, _HOLE, _APART))
+    for a, b in zip(ring, ring[1:] + ring[:1])
+)
+
+
+@query(
+    "area_of_points",
+    f"""
+    WITH sides AS (
+        SELECT n_name AS area, x1 + (n_nationkey % 5) * 10 AS x1, y1 + (n_nationkey // 5) * 10 AS y1,
+               x2 + (n_nationkey % 5) * 10 AS x2, y2 + (n_nationkey // 5) * 10 AS y2
+        FROM nation, (VALUES {_SIDES}) AS s(ring, x1, y1, x2, y2) WHERE ring < 2 OR n_nationkey % 3 = 0),
+    points AS (
+        SELECT o_orderkey, ((o_orderkey * 7919) % 52013)::DOUBLE / 1000.7 AS x,
+               ((o_orderkey * 104729) % 51001)::DOUBLE / 1000.3 AS y FROM orders),
+    crossed AS (
+        SELECT o_orderkey, area, count(*) AS n FROM points, sides
+        WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY ALL),
+    inside AS (SELECT o_orderkey, min(area) AS area FROM crossed WHERE n % 2 = 1 GROUP BY o_orderkey)
+    SELECT o_orderkey, x, y, area FROM points LEFT JOIN inside USING (o_orderkey)
+    """,
+)
+def _(spark, sf):
+    """Orders spread over a map, and the area that holds each; SQL tests every edge."""
+    points = table(spark, sf, "orders").select(
+        "o_orderkey",
+        ((F.col("o_orderkey") * 7919 % 52013).cast("double") / 1000.7).alias("x"),
+        ((F.col("o_orderkey") * 104729 % 51001).cast("double") / 1000.3).alias("y"),
+    )
+    index = area_index(area_edges(_areas(spark, sf)), 0.5)
+    return within_areas(points, "x", "y", index, 0.5)

@@ -18,7 +18,10 @@ from starloom.plans.warehouse import run_pipeline
 from starloom.session import reliable_checkpoint
 from starloom.sources.sinks import replace_table, vacuum
 
-_INPUTS = {"boroughs", "vehicle_spellings", "factor_categories", "rules", "calendar", "parity", "fact_versions", "typing_errors"}
+_INPUTS = {
+    *("boroughs", "vehicle_spellings", "factor_categories", "rules", "calendar", "parity"),
+    *("fact_versions", "typing_errors", "borough_areas", "area_cell"),
+}
 
 
 @contextmanager

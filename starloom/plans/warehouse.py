@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.columns import concat_key, month_start, normalise_text
+from starloom.operators.areas import fill_from_areas
 from starloom.operators.categorize import categorize
 from starloom.operators.clean import CleanSpec, clean
 from starloom.operators.columns import cast_failures, normalize_case
@@ -197,6 +198,9 @@ def silver_crashes(bronze: DataFrame, cfg: CrashWarehouse) -> DataFrame:
             defaults={"contributing_factor_vehicle_1": UNKNOWN, "vehicle_type_code1": UNKNOWN},
         ),
     )
+    if cfg.borough_areas is not None:
+        place = ("borough", "longitude", "latitude")
+        cleaned = fill_from_areas(cleaned, cfg.borough_areas, *place, cfg.area_cell)
     points = cfg.boroughs.where("longitude is not null and latitude is not null").select(
         "borough", "longitude", "latitude"
     )
