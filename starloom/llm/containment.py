@@ -10,8 +10,12 @@ window that its items need: ``plan`` says which.
 An item is found when a window lies wholly in a stretch that both share: equal
 windows have equal keys in every band. Items whose own shingles repeat, and
 those smaller than every plan, use windows of one, where the key is the shingle.
-What is retrieved is then checked on the whole sets: the result does not depend
-on bands, but for items too scattered to share one window.
+
+Items whose shingles are scattered over a text may share no window with it. So
+each item also has its least hashes as keys, one more than it may lack (a
+bottom-k MinHash): a text that has enough of the item has one of them, wherever
+it stands. What is retrieved is then checked on the whole sets, and nothing that
+would pass the check is left out.
 """
 
 from __future__ import annotations
@@ -99,7 +103,9 @@ def _exploded(df: DataFrame, hashes: str, parts: Sequence[Partition], everywhere
     return at.select(*df.columns, F.explode(F.array(*keys)).alias("_key")).where("_key is not null")
 
 
-def item_keys(items: DataFrame, plan: Sequence[Partition]) -> tuple[DataFrame, list[Partition]]:
+def item_keys(
+    items: DataFrame, plan: Sequence[Partition], percent: int
+) -> tuple[DataFrame, list[Partition]]:
     """``(_key, item, n_item, _set)`` stored as a table, and the partitions in use.
 
     ``items`` has ``item`` and ``text``; an item's name may repeat, then its
@@ -117,14 +123,13 @@ def item_keys(items: DataFrame, plan: Sequence[Partition]) -> tuple[DataFrame, l
     ).where("n_item > 0")
     parts = [EXACT, *plan]
     used = sorted(r[0] for r in sized.select("_part").distinct().collect())
-    found = None
+    least = F.expr(f"slice(array_sort(_set), 1, n_item - cast(ceil({percent} * n_item / 100) as int) + 1)")
+    least = sized.select("item", "n_item", "_set", least.alias("_seq"))
+    found = _exploded(least, "_seq", [EXACT], True)
     for k in used:
-        own = _exploded(sized.where(F.col("_part") == k), "_seq", [parts[k]], True)
-        own = own.select("_key", "item", "n_item", "_set").distinct()
-        found = own if found is None else found.union(own)
-    if found is None:
-        found = sized.select(F.lit(0).cast("long").alias("_key"), "item", "n_item", "_set").limit(0)
-    return reliable_checkpoint(found), [parts[k] for k in used]
+        found = found.union(_exploded(sized.where(F.col("_part") == k), "_seq", [parts[k]], True).select(*found.columns))
+    found = found.select("_key", "item", "n_item", "_set").distinct()
+    return reliable_checkpoint(found), [parts[k] for k in sorted({0, *used})] if used else []
 
 
 def contained(
@@ -143,7 +148,7 @@ def contained(
     are joined by shuffle, and the documents found are read again; the result
     is the same.
     """
-    keys, parts = item_keys(items, plan)
+    keys, parts = item_keys(items, plan, percent)
     size = keys.agg(F.sum(F.size("_set") * 8 + 64)).first()[0] or 0
     docs = docs.select("doc_id", "text")
     hashed = shingle_hashes(docs, "text", "_doc")

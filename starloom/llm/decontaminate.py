@@ -3,7 +3,8 @@
 See ``containment``. An item counts as leaked into a document that has at least
 80 % of its five-word shingles. Losing a fifth of ``q`` shingles leaves a
 stretch of ``0.8 q`` of them (an edit inside costs four or more), from 20 on of
-eight: the windows below lie within it whatever was lost.
+eight: the windows below lie within it. Items scattered more than an edit
+scatters them are found by their least hashes.
 """
 
 from __future__ import annotations

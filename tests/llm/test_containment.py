@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -61,3 +62,25 @@ def test_licences_in_documents(spark, corpus):
     got = {(r.doc_id, r.license) for r in licenses.license_hits(df, licenses.template_table(spark)).collect()}
     want = {(d, name) for d, _, t in [(k, 0, t) for t, k in texts] for name, x in templates if brute([(d, t)], [(0, x)])}
     assert got == want and (103, "MIT") in got and (104, "MIT") not in got
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_scattered_items_are_found(spark, limit):
+    """Exactly four fifths of an item's shingles, each alone somewhere in a text."""
+    rng = random.Random(11)
+    items, docs = [], []
+    for size in (1, 2, 4, 5, 6, 8, 10, 12, 15, 20, 40, 60):
+        for k in range(6):
+            w = [f"w{size}x{k}x{i}" for i in range(size + 4)]
+            number = len(items)
+            items.append((number, " ".join(w)))
+            runs = [w[i : i + 5] for i in range(size)]
+            rng.shuffle(runs)
+            for share in (-(-size * 4 // 5), -(-size * 4 // 5) - 1):
+                parts = [" ".join(run) for run in runs[:share]]
+                filler = [" ".join(f"f{rng.random()}" for _ in range(rng.randint(1, 9))) for _ in parts]
+                docs.append((len(docs), " ".join(x for pair in zip(parts, filler, strict=True) for x in pair)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.leaks(df, benchmark, broadcast_bytes=limit).collect()}
+    assert got == brute(docs, items) and len(got) == len(items)
