@@ -14,6 +14,7 @@ candidate meets three rows per kind at most, however many parts there are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +53,46 @@ SCOPE = 256
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 
 
+#: Elements summed up one by one; longer arrays are gone through in such blocks.
+BLOCK = 128
+#: Characters of the pieces that a text is cut into before it is masked.
+PIECE = 512
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _before(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each number of an array what ``add`` makes of 0 and all before it.
+
+    Blocks are summed up first, so the work is in proportion to the array times
+    ``BLOCK``, not to its square.
+    """
+
+    def total(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("bigint"), add)
+
+    def within(all_: Column, sums: Column) -> Column:
+        ahead = F.transform(sums, lambda _, b: total(F.slice(sums, 1, b)))
+        return _let(
+            ahead,
+            lambda starts: F.transform(
+                all_,
+                lambda _, i: add(
+                    F.get(starts, F.floor(i / BLOCK).cast("int")),
+                    total(F.slice(all_, i - i % BLOCK + 1, i % BLOCK)),
+                ),
+            ),
+        )
+
+    blocks = lambda v: F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+    sums = lambda v: F.transform(blocks(v), lambda b: total(F.slice(v, b * BLOCK + 1, F.lit(BLOCK))))
+    some = _let(values, lambda v: _let(sums(v), lambda t: within(v, t)))
+    return F.when(F.size(values) > 0, some).otherwise(F.array().cast("array<bigint>"))
+
+
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
     """Spans of the matches whose group has ``least`` characters; places are in code points.
 
@@ -62,23 +103,31 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     pieces = F.split(text, pattern, -1)
     wholes = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else wholes
-    rows = F.arrays_zip(pieces.alias("gap"), wholes.alias("whole"), parts.alias("part"))
-    empty = F.struct(
-        F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")
+    lengths = F.transform(
+        F.arrays_zip(pieces.alias("gap"), wholes.alias("whole"), parts.alias("part")),
+        lambda r: F.struct(
+            F.length(r["gap"]).cast("bigint").alias("gap"),
+            F.coalesce(F.length(r["whole"]), F.lit(0)).cast("bigint").alias("whole"),
+            F.coalesce(F.length(r["part"]), F.lit(-1)).alias("part"),
+        ),
     )
 
-    def step(state: Column, row: Column) -> Column:
-        start = state["at"] + F.length(row["gap"])
-        end = start + F.coalesce(F.length(row["whole"]), F.lit(0))
-        span = F.struct(
-            start.cast("bigint").alias("start"), F.lit(number).alias("kind"), end.cast("bigint").alias("end")
+    def placed(rows: Column) -> Column:
+        steps = F.transform(rows, lambda r: r["gap"] + r["whole"])
+        every = F.zip_with(
+            rows,
+            _before(steps, lambda a, b: a + b),
+            lambda r, at: F.struct(
+                (at + r["gap"]).alias("start"),
+                F.lit(number).alias("kind"),
+                (at + r["gap"] + r["whole"]).alias("end"),
+                r["part"].alias("part"),
+            ),
         )
-        good = F.coalesce(F.length(row["part"]) >= least, F.lit(False))
-        found = F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.cast("bigint").alias("at"), found.alias("found"))
+        good = F.filter(every, lambda s: s["part"] >= least)
+        return F.transform(good, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
-    spans = F.aggregate(rows, empty, step, lambda state: state["found"])
-    return F.when(F.regexp(text, F.lit(pattern)), spans).otherwise(
+    return F.when(F.regexp(text, F.lit(pattern)), _let(lengths, placed)).otherwise(
         F.array().cast(f"array<{SPAN}>")
     )
 
@@ -188,18 +237,31 @@ def masked(docs: DataFrame) -> DataFrame:
     names = docs.columns
     packed = docs.select(F.col("text"), F.struct("*").alias("_all"))
     found = scan(packed.select("_all", F.col("text")))
-    spans = F.array_sort(F.concat("base", "linked"))
     text = F.col("_all.text")
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    spans = F.array_sort(F.concat("base", "linked"))
 
-    def step(s: Column, span: Column) -> Column:
-        gap = F.substr(text, (s["at"] + 1).cast("int"), (span["start"] - s["at"]).cast("int"))
-        out = F.when(span["start"] >= s["at"], F.concat(s["out"], gap, F.lit(MASK))).otherwise(s["out"])
-        return F.struct(F.greatest(s["at"], span["end"]).alias("at"), out.alias("out"))
+    def cut(pieces: Column, begin: Column, end: Column) -> Column:
+        """The text between two places, from the pieces that hold it."""
+        first = F.floor(begin / PIECE).cast("int")
+        some = F.array_join(F.slice(pieces, first + 1, F.floor(end / PIECE).cast("int") - first + 1), "")
+        return F.substr(some, (begin % PIECE + 1).cast("int"), (end - begin).cast("int"))
+
+    def without(held: Column) -> Column:
+        pieces, own = held["pieces"], held["spans"]
+        ends = _before(F.transform(own, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        places = F.zip_with(own, ends, lambda s, at: F.struct(s["start"].alias("start"), at.alias("at")))
+        apart = F.filter(places, lambda p: p["start"] >= p["at"])
+        masked_ = F.transform(apart, lambda p: F.concat(cut(pieces, p["at"], p["start"]), F.lit(MASK)))
+        rest = cut(pieces, F.array_max(F.transform(own, lambda s: s["end"])), held["length"])
+        return F.concat(F.array_join(masked_, ""), rest)
 
-    rest = lambda s: F.concat(s["out"], F.substr(text, (s["at"] + 1).cast("int")))
     changed = F.size(spans) > 0
-    new = F.when(changed, F.aggregate(spans, state, step, rest)).otherwise(text)
+    held = F.struct(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("pieces"),
+        spans.alias("spans"),
+        F.length(text).cast("bigint").alias("length"),
+    )
+    new = F.when(changed, _let(held, without)).otherwise(text)
     out = found.select("_all", new.alias("_new"), changed.alias("_changed"))
     column = {"text": F.col("_new")}
     if "n_chars" in names:

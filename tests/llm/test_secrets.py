@@ -78,3 +78,20 @@ def test_masking_keeps_rows_and_columns(spark, texts):
 def test_no_rows(no_docs):
     assert secrets.report(no_docs).count() == 0
     assert secrets.masked(no_docs).columns == no_docs.columns
+
+
+def test_many_matches_in_one_text(spark):
+    """Thousands of spans, in ascending order, overlapping and over block borders."""
+    digest = "0123456789abcdef" * 2
+    rng = random.Random(2)
+    many = "".join(digest + rng.choice(("\n", " é ", "x", " token=", "-" * 700)) for _ in range(32_000))
+    df = spark.createDataFrame([(1, many)], "doc_id long, text string")
+    base, every = spans(many)
+    got = secrets.report(df).first()
+    assert got.n_hex == 32_000 and got.spans == line(every) and len(base) > 32_000
+    want, at = [], 0
+    for a, _, b, _ in every:
+        if a >= at:
+            want += [many[at:a], secrets.MASK]
+        at = max(at, b)
+    assert secrets.masked(df).first().text == "".join(want) + many[at:]
