@@ -14,11 +14,15 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import Lookup, resolve_keys
+from starloom.operators.late import INFERRED, adopt_members, infer_members, load_or_wait
 from starloom.operators.profile import row_count
 from starloom.plans.queries.inputs import moment
 from starloom.plans.registry import query, table
 from starloom.session import reliable_checkpoint, shared_folder
+from starloom.sources.layout import clustered, compact
 from starloom.sources.readers import read_json, records_to_df
+from starloom.sources.run_log import RunLog
 from starloom.sources.sinks import (
     append,
     ctas_if_absent,
@@ -203,3 +207,99 @@ def _(spark, sf):
                 F.col("extraction_timestamp").cast("timestamp_ntz").alias("loaded_at"),
             )
         )
+
+
+@query(
+    "late_members_wait",
+    """
+    SELECT o_orderkey, o_custkey, CASE WHEN c_custkey % 21 <> 0 THEN c_custkey * 2 END AS customer_key,
+           CASE WHEN c_custkey % 21 <> 0 THEN 'fact' ELSE 'waiting' END AS place,
+           CASE WHEN o_orderkey % 10 = 0 AND NOT (c_custkey % 3 <> 0 AND o_orderkey % 2 = 0)
+                THEN 'corrected' ELSE o_orderstatus END AS status
+    FROM orders JOIN customer ON c_custkey = o_custkey
+    """,
+)
+def _(spark, sf):
+    """Orders loaded while a third of the customers is not there yet, then the rest.
+
+    The second load corrects some orders: those that waited take it, those that
+    were loaded are not added twice. Customers that never come keep theirs waiting.
+    """
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"))
+    known = table(spark, sf, "customer").select("c_custkey", (F.col("c_custkey") * 2).alias("key"), F.lit(1).alias("is_current"))
+    corrected = F.when(F.col("o_orderkey") % 10 == 0, "corrected").otherwise(F.col("status"))
+    with _own_tables(spark, "fact", "waiting") as (fact, waiting):
+
+        def load(part, customers):
+            look = Lookup(customers, [("o_custkey", "c_custkey")], {"customer_key": "key"})
+            return load_or_wait(part, [look], fact, waiting, ["o_orderkey"])
+
+        some, most = known.where("c_custkey % 3 <> 0"), known.where("c_custkey % 21 <> 0")
+        even = orders.where("o_orderkey % 2 = 0")
+        load(even, some)
+        load(orders.withColumn("status", corrected), some)
+        load(orders.limit(0), most)
+        left = load(even.limit(0), most)
+        kept = spark.table(waiting).withColumns({"customer_key": F.lit(None).cast("bigint"), "place": F.lit("waiting")})
+        if left != kept.count():
+            raise RuntimeError("what waits is counted")
+        return reliable_checkpoint(spark.table(fact).withColumn("place", F.lit("fact")).unionByName(kept))
+
+
+@query(
+    "late_members_inferred",
+    """
+    WITH named AS (SELECT DISTINCT o_custkey FROM orders),
+    late AS (SELECT o_custkey AS k, row_number() OVER (ORDER BY o_custkey) AS rn FROM named WHERE o_custkey % 3 = 0)
+    SELECT o_orderkey, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey
+                            ELSE rn + (SELECT max(c_custkey) FROM customer WHERE c_custkey % 3 <> 0) END AS surrogate_key,
+           CASE WHEN o_custkey % 21 = 0 THEN 'Unknown' ELSE c_mktsegment END AS segment,
+           CASE WHEN o_custkey % 21 = 0 THEN 1 ELSE 0 END AS is_inferred
+    FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN late ON k = o_custkey
+    """,
+)
+def _(spark, sf):
+    """Orders point at stand-ins for customers still to come; these take them over."""
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("member"), F.col("c_mktsegment").alias("segment"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    dim = customer.where("member % 3 <> 0").select(
+        F.col("member").alias("surrogate_key"),
+        "member",
+        "segment",
+        F.lit(datetime(2024, 1, 1)).alias("effective_date"),
+        F.lit(None).cast("timestamp").alias("end_date"),
+        F.lit(1).alias("is_current"),
+        F.lit(0).alias(INFERRED),
+    )
+    dim = infer_members(dim, orders, "o_custkey", "member", datetime(2024, 2, 1), {"segment": "Unknown"})
+    fact = resolve_keys(orders, [Lookup(dim, [("o_custkey", "member")], {"surrogate_key": "surrogate_key"})])
+    fact = reliable_checkpoint(fact.select("o_orderkey", "surrogate_key"))
+    dim = adopt_members(dim, customer.where("member % 21 <> 0"), "member", ["segment"])
+    return fact.join(dim.select("surrogate_key", "segment", INFERRED), "surrogate_key")
+
+
+@query(
+    "clustered_compacted",
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate, l_returnflag,
+           n AS rows_logged FROM lineitem, (SELECT count(*) AS n FROM lineitem)
+    """,
+)
+def _(spark, sf):
+    """Line items written clustered by part and day, appended to, and compacted; the
+    count is the one that the write logged."""
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag"]
+    items = table(spark, sf, "lineitem").select(*names)
+    with _own_tables(spark, "items", "log") as (name, log):
+        runs = RunLog(spark, log, "load")
+        late = F.col("l_orderkey") % 7 == 0
+        first = clustered(items.where(~late), ["l_partkey", "l_shipdate"], 8)
+        runs.write("first", first, lambda df: replace_table(df, name, ["l_returnflag"]))
+        for k in range(3):
+            part = items.where(late & (F.col("l_partkey") % 3 == k)).repartition(4)
+            runs.write(f"late {k}", part, lambda df: append(df, name))
+        before, after = compact(spark, name)
+        if after >= before:
+            raise RuntimeError("compaction leaves fewer files")
+        logged = runs.rows().where("status = 'done'").agg(F.sum("rows")).first()[0]
+        return reliable_checkpoint(spark.table(name).select(*names).withColumn("rows_logged", F.lit(logged).cast("bigint")))

@@ -185,6 +185,42 @@ def replace_partitions(df: DataFrame, table: str, touched: DataFrame | None = No
     _swap(spark, table, path, schema, _values(touched, keys) if touched is not None else set())
 
 
+def replace_snapshot(df: DataFrame, table: str, specs: set[Spec]) -> None:
+    """Write the rows of whole partitions ``specs`` anew as ``df`` deals them, and point at them.
+
+    For a table without partitions, whose one spec is empty, ``df`` is all of it.
+    """
+    spark = df.sparkSession
+    keys = partition_columns(spark, table)
+    schema = spark.table(table).schema
+    path = _snapshot_path(spark, table)
+    writer = df.select(*schema.names).write
+    if keys:
+        writer.partitionBy(*keys).parquet(path)
+        _swap(spark, table, path, schema, specs)
+    else:
+        writer.parquet(path)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+
+
+def table_files(spark: SparkSession, table: str) -> dict[Spec, list[tuple[str, int]]]:
+    """Path and size of the data files of each partition, from the file system's listing."""
+    keys = partition_columns(spark, table)
+    out: dict[Spec, list[tuple[str, int]]] = {}
+    for row in sorted(_specs(spark, table), key=str) if keys else [()]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_location(spark, table, _spec(keys, row) if keys else None))
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = [
+            (f.getPath().toUri().toString(), f.getLen())
+            for f in (files.listStatus(folder) if files.exists(folder) else ())
+            if f.isFile() and not f.getPath().getName().startswith(("_", "."))
+        ]
+        if found:
+            out[row] = found
+    return out
+
+
 def _location(spark: SparkSession, table: str, spec: str | None = None) -> str:
     where = f" PARTITION ({spec})" if spec else ""
     told = spark.sql(f"DESCRIBE EXTENDED {table}{where}")
