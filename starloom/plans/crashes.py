@@ -273,6 +273,8 @@ class CrashWarehouse:
     With ``borough_areas``, polygons ``(area, rings)``, a missing borough is that of
     the area the crash lies in, and of the nearest reference point outside all.
 
+    ``runs`` names a table that gets a row per write of a run, see ``RunLog``.
+
     With ``typing_errors`` a vehicle that is not listed gets the category of the
     listed spelling one or two edits away.
     """
@@ -310,3 +312,4 @@ class CrashWarehouse:
     typing_errors: bool = False
     borough_areas: DataFrame | None = None
     area_cell: float = 0.01
+    runs: str | None = None

@@ -20,7 +20,7 @@ from starloom.sources.sinks import replace_table, vacuum
 
 _INPUTS = {
     *("boroughs", "vehicle_spellings", "factor_categories", "rules", "calendar", "parity"),
-    *("fact_versions", "typing_errors", "borough_areas", "area_cell"),
+    *("fact_versions", "typing_errors", "borough_areas", "area_cell", "runs"),
 }
 
 

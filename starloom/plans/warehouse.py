@@ -6,6 +6,7 @@ one runs only after success, and every stage can be run again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from functools import partial, reduce
@@ -57,11 +58,22 @@ from starloom.plans.crashes import (
 )
 from starloom.session import drop_intermediates, intermediates, reliable_checkpoint
 from starloom.sources.readers import unmarked
+from starloom.sources.run_log import RunLog
 from starloom.sources.sinks import append, ensure_table, replace_partitions, replace_table
 from starloom.streaming.incremental import incremental_load
 from starloom.streaming.marks import empty_marks, seed_mark, upsert_mark
 
 
+def _logged(
+    spark: SparkSession, cfg: CrashWarehouse, now: datetime, stage: str, df: DataFrame, writer: Callable
+) -> None:
+    """Write ``df`` by ``writer``; where runs are logged, with its number of rows."""
+    if cfg.runs is None:
+        writer(df)
+    else:
+        RunLog(spark, cfg.runs, now.isoformat()).write(stage, df, writer)
+
+
 def seed_marks(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> bool:
     """Give the crash source a mark from data already loaded, if it has none."""
     if not spark.catalog.tableExists(cfg.bronze):
@@ -104,6 +116,7 @@ def extract(
         batch_ts=now,
         partition_by=[BATCH],
         held=held,
+        write=lambda df, name, by: _logged(spark, cfg, now, "extract", df, lambda d: append(d, name, by)),
         **again(CRASH_COLUMNS),
     )
     replace_table(unmarked(crashes, "crash_date", CRASH_COLUMNS), cfg.unmarked)
@@ -152,7 +165,7 @@ def log_quality(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> None
         keep=("collision_id", "extraction_timestamp"),
         identifier="text" if cfg.parity else "hash",
     )
-    append(errors, cfg.log)
+    _logged(spark, cfg, now, "log", errors, lambda df: append(df, cfg.log))
     counts = error_counts(spark.table(cfg.log), normalize=not cfg.parity)
     replace_table(counts, cfg.log_counts)
 
@@ -231,7 +244,8 @@ def transform(spark: SparkSession, cfg: CrashWarehouse, now: datetime) -> None:
     else:
         unread = bronze.select(*CRASH_COLUMNS).limit(0)
     replace_table(rejected(bronze, unread), cfg.rejects, ["reason"])
-    replace_table(silver_crashes(spark.table(cfg.bronze), cfg), cfg.silver, ["crash_month"])
+    silver = silver_crashes(spark.table(cfg.bronze), cfg)
+    _logged(spark, cfg, now, "silver", silver, lambda df: replace_table(df, cfg.silver, ["crash_month"]))
 
 
 def with_streets(silver: DataFrame, streets: DataFrame) -> DataFrame:
@@ -378,10 +392,13 @@ def crash_lookups(spark: SparkSession, cfg: CrashWarehouse, street: bool = False
     ]
 
 
-def load_fact(spark: SparkSession, cfg: CrashWarehouse, street: bool = False) -> None:
+def load_fact(
+    spark: SparkSession, cfg: CrashWarehouse, street: bool = False, now: datetime | None = None
+) -> None:
     """Resolve the four keys and upsert; the street variant is stored by month.
 
-    Only partitions holding a new or changed fact are rewritten.
+    Only partitions holding a new or changed fact are rewritten. With ``now`` the
+    write can be logged as part of that run.
     """
     name, by = (cfg.fact_street, "crash_month") if street else (cfg.fact, "year")
     ensure_table(spark, name, FACT_SCHEMA, [by])
@@ -409,7 +426,12 @@ def load_fact(spark: SparkSession, cfg: CrashWarehouse, street: bool = False) ->
         | (F.col(by).isNull() & F.lit(None in values))
     )
     if values:
-        replace_partitions(apply_changes(affected, changes, ["collision_id"]), name, touched)
+        rows = apply_changes(affected, changes, ["collision_id"])
+        write = partial(replace_partitions, table=name, touched=touched)
+        if now is None:
+            write(rows)
+        else:
+            _logged(spark, cfg, now, "fact_street" if street else "fact", rows, write)
 
 
 def run_pipeline(
@@ -428,9 +450,9 @@ def run_pipeline(
         ensure_table(spark, cfg.bronze, f"{BRONZE_SCHEMA}, {BATCH} string", [BATCH])
     transform(spark, cfg, now)
     dimensions(spark, cfg, now, street)
-    load_fact(spark, cfg)
+    load_fact(spark, cfg, now=now)
     if street:
-        load_fact(spark, cfg, street=True)
+        load_fact(spark, cfg, street=True, now=now)
     drop_intermediates(spark, since=before)
     return loaded
 

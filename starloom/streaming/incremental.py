@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from typing import Any
 
@@ -28,6 +28,7 @@ def incremental_load(
     key: Sequence[str] | None = None,
     partition_by: Sequence[str] = (),
     held: DataFrame | None = None,
+    write: Callable[..., object] = append,
 ) -> bool:
     """Append the rows of ``source`` above the mark and move the mark.
 
@@ -38,6 +39,7 @@ def incremental_load(
     mark moved is repeated without harm.  Late rows do not move a mark back.
     ``partition_by`` is the layout of a table that does not exist yet.  ``held``
     are the table's rows that may meet the batch; all of them if not given.
+    ``write`` takes the batch, the table and that layout.
     """
     spark = source.sparkSession
     known = spark.catalog.tableExists(marks_table)
@@ -57,7 +59,7 @@ def incremental_load(
     if upper["top"] is None:
         return False
     batch = batch.where(value <= mark_literal(batch, mark_col, upper["top"]))
-    append(stamp_batch(batch, batch_ts), table, partition_by)
+    write(stamp_batch(batch, batch_ts), table, partition_by)
     before = get_mark(marks, table, None)
     mark = upper["mark"] if before is None else max(before, upper["mark"])
     moved = spark.createDataFrame([(table, mark, batch_ts)], marks.schema)

@@ -226,3 +226,16 @@ def test_calendar_holds_every_crash(spark, db):
     assert calendar_days(days, cfg) == (date(2009, 1, 1), date(2031, 12, 31))
     assert calendar_days(days.limit(0), cfg) == cfg.calendar
     assert calendar_days(days, config(spark, parity=True)) == cfg.calendar
+
+
+def test_writes_are_logged_with_their_rows(spark, rows, db):
+    cfg = config(spark, runs="runs")
+    run_pipeline(crashes(spark, ODD), cfg, DAY1)
+    run_pipeline(crashes(spark, ODD), cfg, DAY2)
+    logged = spark.table("runs")
+    assert logged.where("status <> 'done'").isEmpty()
+    first = dict(rows(logged.where(F.col("run") == DAY1.isoformat()), "stage", "rows"))
+    held = {"extract": cfg.bronze, "log": cfg.log, "silver": cfg.silver, "fact": cfg.fact}
+    assert first == {stage: spark.table(name).count() for stage, name in held.items()}
+    again = dict(rows(logged.where(F.col("run") == DAY2.isoformat()), "stage", "rows"))
+    assert again == {"log": 0, "silver": first["silver"]}  # nothing came in, no fact changed
