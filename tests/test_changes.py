@@ -52,7 +52,7 @@ def source(spark, upto):
     return crashes(spark, [r for load in LOADS[: upto + 1] for r in load])
 
 
-@pytest.mark.parametrize("versions, loads", [("current", range(5)), ("on_day", (0, 3))])
+@pytest.mark.parametrize("versions, loads", [("current", (0, 1, 2, 3, 4)), ("on_day", (0, 3))])
 def test_as_full_runs(spark, db, versions, loads):
     states = {}
     for run in (run_pipeline, run_changes):
@@ -95,7 +95,7 @@ def test_nothing_else_is_read(spark, db):
     assert spark.table(cfg.silver).where("crash_month = '2025-06-01'").count() == 2
 
 
-@pytest.mark.parametrize("stage", ["_count_members", "_fact"])
+@pytest.mark.parametrize("stage", ["_count_members"])
 def test_a_run_that_breaks_off_is_taken_up(spark, db, monkeypatch, stage):
     """Whatever stage fails, before or after its work, the next run ends as if none had."""
     cfg = config(spark)
