@@ -224,19 +224,26 @@ def _left_out(members: DataFrame, found: DataFrame, sets: DataFrame) -> DataFram
         ranked.where(f"place <= n - ceil({SHARE} * n / 100) + 1 and often > 1")
     )
     a = prefix.where(f"place <= n - ceil({2 * SHARE} * n / {100 + SHARE}) + 1")
+    met = reliable_checkpoint(_meetings(prefix))
     side = ["s", "node", "n", "component", "place"]
-    a = a.select(side).toDF("s", "a", "n_a", "c_a", "at_a")
+    a = a.select(side).toDF("s", "a", "n_a", "c_a", "at_a").join(met, ["s", "c_a"])
     b = prefix.select(side).toDF("s", "b", "n_b", "c_b", "at_b")
     need = f"ceil({SHARE} * (n_a + n_b) / {100 + SHARE})"
     return (
-        a.join(b, "s")
-        .where(f"c_a <> c_b and 100 * n_a >= {SHARE} * n_b and (n_a < n_b or n_a = n_b and a < b)")
+        a.join(b, ["s", "c_b"])
+        .where(f"100 * n_a >= {SHARE} * n_b and (n_a < n_b or n_a = n_b and a < b)")
         .where(f"at_a <= n_a - {need} + 1 and at_b <= n_b - {need} + 1")
         .select("a", "b")
         .distinct()
     )
 
 
+def _meetings(prefix: DataFrame) -> DataFrame:
+    """``(s, c_a, c_b)``: the different components whose prefixes hold a shingle."""
+    at = reliable_checkpoint(prefix.select("s", "component").distinct())
+    return at.toDF("s", "c_a").join(at.toDF("s", "c_b"), "s").where("c_a <> c_b")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without the near-duplicates of a kept document."""
     gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()

@@ -56,6 +56,33 @@ def test_copies_that_are_all_a_little_too_far_from_the_first(spark):
     assert found(near_dedup.near_duplicates(df)) == want
 
 
+def test_a_large_component_is_not_paired_off_for_an_outsider(spark, monkeypatch):
+    """Many near copies in one component, and texts a little too far from all but a few."""
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for k in range(400):
+        copy = list(base)
+        copy[k % 200] = f"x{k}"  # two such copies share over 94 of 100 shingles
+        rows.append((k, " ".join(copy)))
+    for k in range(400, 404):  # outsiders: five and six edits
+        copy = list(base)
+        for j in range(5 + k % 2):
+            copy[(31 * j + k) % 200] = f"y{k}.{j}"
+        rows.append((k, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    met, searched = [], near_dedup._meetings
+    monkeypatch.setattr(near_dedup, "_meetings", lambda prefix: met.append(prefix) or searched(prefix))
+    want = brute(rows)
+    assert found(near_dedup.near_duplicates(df)) == want
+    assert len({c for _, c in want.values()}) > 1
+    (prefix,) = met
+    pairs = searched(prefix)
+    of = {(r.s, r.component): r["count"] for r in prefix.groupBy("s", "component").count().collect()}
+    joined = sum(of[r.s, r.c_a] * of[r.s, r.c_b] for r in pairs.collect())
+    every = sum(r["count"] ** 2 for r in prefix.groupBy("s").count().collect())
+    assert joined <= every / 10
+
+
 def test_rows_without_id_repeated_rows_and_no_rows(spark, no_docs):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (3, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
