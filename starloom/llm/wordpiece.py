@@ -7,7 +7,11 @@ of pieces (precomputed) and goes on at the failure node, which spells the rest
 of the path after these pieces. The count of a word is the number of pops on
 its way, the end of the word included; no piece is ever built.
 
-All distinct words of a batch walk the automaton at once, a byte per step.
+All distinct words of a batch walk the automaton at once, a byte per step. Long
+words, as in unspaced text, are cut into stretches that walk at once as well, each
+as if a piece began there. Then they are joined from the left: from the state
+that a stretch is really entered in, single bytes are walked until the state is
+the one noted at that byte, from where on both walks are the same.
 """
 
 from __future__ import annotations
@@ -27,7 +31,8 @@ from starloom.llm.text import once, slices, utf8, words
 from starloom.llm.vocab import ByteVocab
 
 STEP_WORDS = 1 << 16  # distinct words that walk together
-LONG = 256  # bytes; longer words walk one by one
+LONG = 256  # bytes; longer words walk in stretches of as many
+AT_ONCE = 1 << 13  # stretches whose states are noted at a time
 
 
 class Automaton:
@@ -74,6 +79,7 @@ class Automaton:
         self.keys = np.array([k for k, _ in edges], np.int64)
         self.to = np.array([w for _, w in edges], np.int32)
         self.first = np.array([children[0][b] for b in range(256)], np.int32)
+        self._single: tuple[dict[int, int], list[int], list[int]] | None = None
 
     def _next(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The node along the edge, -1 where there is none."""
@@ -81,6 +87,17 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.to[at], -1)
 
+    def _step(self, state: np.ndarray, count: np.ndarray, byte: np.ndarray) -> None:
+        """Move all walks on by a byte each, in place."""
+        todo = np.arange(len(state))
+        while len(todo):
+            to = self._next(state[todo], byte[todo])
+            good = to >= 0
+            state[todo[good]] = to[good]
+            todo = todo[~good]
+            count[todo] += self.pops[state[todo]]
+            state[todo] = self.fail[state[todo]]
+
     def _walk(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Pieces of each word, all words at once; the longest go first."""
         order = np.argsort(starts - ends, kind="stable")
@@ -89,16 +106,7 @@ class Automaton:
         state = np.zeros(len(order), np.int32)
         for k in range(int(size[0]) if len(size) else 0):
             live = int(np.searchsorted(-size, -k, side="left"))
-            byte = raw[begin[:live] + k]
-            s = state[:live]
-            todo = np.arange(live)
-            while len(todo):
-                to = self._next(s[todo], byte[todo])
-                good = to >= 0
-                s[todo[good]] = to[good]
-                todo = todo[~good]
-                count[todo] += self.pops[s[todo]]
-                s[todo] = self.fail[s[todo]]
+            self._step(state[:live], count[:live], raw[begin[:live] + k])
         while True:  # what is left at the ends of words
             left = np.flatnonzero(state)
             if not len(left):
@@ -109,12 +117,59 @@ class Automaton:
         out[order] = count
         return out
 
+    def _long(self, raw: np.ndarray, start: int, end: int) -> int:
+        """Pieces of one long word, whose stretches walk at once and are then joined."""
+        edges, fail, pops = self._plain()
+        total = state = 0
+        for at in range(start, end, LONG * AT_ONCE):
+            block = raw[at : min(end, at + LONG * AT_ONCE)]
+            n = -(-len(block) // LONG)
+            rows = np.zeros(n * LONG, np.uint8)
+            rows[: len(block)] = block
+            rows = rows.reshape(n, LONG)
+            states = np.zeros((LONG, n), np.int32)
+            counts = np.zeros((LONG, n), np.int64)
+            s, c = np.zeros(n, np.int32), np.zeros(n, np.int64)
+            for k in range(LONG):
+                self._step(s, c, np.ascontiguousarray(rows[:, k]))
+                states[k], counts[k] = s, c
+            for i in range(n):
+                size = min(LONG, len(block) - i * LONG)
+                if state:  # 0 is what the stretch was walked from
+                    noted, passed = states[:size, i].tolist(), counts[:size, i].tolist()
+                    more = 0
+                    for k, b in enumerate(rows[i, :size].tolist()):
+                        while (to := edges.get(state << 8 | b)) is None:
+                            more += pops[state]
+                            state = fail[state]
+                        state = to
+                        if state == noted[k]:
+                            total += more + passed[-1] - passed[k]
+                            state = noted[-1]
+                            break
+                    else:
+                        total += more
+                else:
+                    total += int(counts[size - 1, i])
+                    state = int(states[size - 1, i])
+        while state:
+            total += pops[state]
+            state = fail[state]
+        return total
+
+    def _plain(self) -> tuple[dict[int, int], list[int], list[int]]:
+        """Edges, failure nodes and pops for single steps, made when first needed."""
+        if self._single is None:
+            edges = dict(zip(self.keys.tolist(), self.to.tolist(), strict=True))
+            self._single = edges, self.fail.tolist(), self.pops.tolist()
+        return self._single
+
     def counts(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Pieces of the words that lie at ``starts`` to ``ends`` in ``raw``."""
         out = np.zeros(len(starts), np.int64)
         size = ends - starts
-        for k in np.flatnonzero(size > LONG):  # one row of steps is enough for each
-            out[k] = self._walk(raw, starts[k : k + 1], ends[k : k + 1])[0]
+        for k in np.flatnonzero(size > LONG).tolist():
+            out[k] = self._long(raw, int(starts[k]), int(ends[k]))
         short = np.flatnonzero(size <= LONG)
         for k in range(0, len(short), STEP_WORDS):
             part = short[k : k + STEP_WORDS]

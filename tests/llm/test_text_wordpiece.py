@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,33 @@ def test_automaton_counts_as_greedy_matching_does():
         assert got.tolist() == [greedy(x, pieces, 7) for x in words]
 
 
+def test_long_words_are_joined_from_stretches(monkeypatch):
+    rng = random.Random(3)
+    monkeypatch.setattr(wordpiece, "LONG", 16)
+    monkeypatch.setattr(wordpiece, "AT_ONCE", 4)
+    for _ in range(60):
+        alphabet = b"abc"[: rng.randint(1, 3)]
+        pieces = {bytes(rng.choices(alphabet, k=rng.randint(1, 7))) for _ in range(rng.randint(1, 25))}
+        machine = wordpiece.Automaton(list(pieces))
+        for n in (15, 16, 17, 31, 33, 64, 65, 500):
+            word = bytes(rng.choices(alphabet, k=n))
+            got = machine.counts(np.frombuffer(word, np.uint8), np.array([0]), np.array([n]))
+            assert got.tolist() == [greedy(word, pieces, 7)]
+
+
+def test_unspaced_text_costs_about_as_much_as_spaced():
+    rng = random.Random(4)
+    machine = wordpiece.automaton(PATH)
+    pieces = set(wordpiece.word_pieces(PATH))
+    word = "".join(chr(rng.randrange(0x4E00, 0x6000)) for _ in range(200_000)).encode()
+    raw = np.frombuffer(word, np.uint8)
+    machine._plain()
+    begin = time.process_time()
+    got = machine.counts(raw, np.array([0]), np.array([len(raw)]))
+    assert time.process_time() - begin < 2  # 0.6 MB; byte by byte it took about a minute
+    assert got.tolist() == [greedy(word, pieces, max(map(len, pieces)))]
+
+
 def test_counts_per_document(docs, corpus, no_docs):
     pieces = set(wordpiece.word_pieces(PATH))
     longest = max(map(len, pieces))
