@@ -63,18 +63,24 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/starloom-{uuid4().hex}"
     df.write.parquet(path)
-    _intermediates.append(path)
+    track(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_intermediates(spark: SparkSession, since: int = 0) -> int:
-    """Delete intermediate tables from the ``since``-th on that this driver wrote;
-    tells how many.  Frames that read them must not be used any more."""
-    gone = _intermediates[since:]
+def track(path: str) -> None:
+    """Count a folder this driver has others write as an intermediate table."""
+    _intermediates.append(path)
+
+
+def drop_intermediates(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
+    """Delete intermediate tables that this driver wrote, from the ``since``-th on
+    and up to the ``until``-th; tells how many.  Frames that read them must not be
+    used any more."""
+    gone = _intermediates[since:until]
     for path in gone:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    del _intermediates[since:]
+    del _intermediates[since:until]
     return len(gone)
 
 

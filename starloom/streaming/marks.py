@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.sources.readers import mark_value
@@ -29,19 +29,25 @@ def get_mark(marks: DataFrame, source: str, default: Any = DEFAULT_MARK) -> Any:
     return default if found is None else found
 
 
-def _mark_row(df: DataFrame, value, source: str, now: datetime) -> DataFrame:
-    return df.agg(value.alias("last_watermark")).select(
-        F.lit(source).alias("table_name"), "last_watermark", F.lit(now).alias("updated_at")
-    )
+def _mark_row(df: DataFrame, value: Column, source: str | Column, now: datetime) -> DataFrame:
+    if isinstance(source, Column):
+        marks = df.groupBy(source.alias("table_name")).agg(value.alias("last_watermark"))
+    else:
+        marks = df.agg(value.alias("last_watermark")).withColumn("table_name", F.lit(source))
+    return marks.select("table_name", "last_watermark", F.lit(now).alias("updated_at"))
+
 
+def seed_mark(df: DataFrame, col: str, source: str | Column, now: datetime) -> DataFrame:
+    """A first mark from data already loaded: midnight of its last day.
 
-def seed_mark(df: DataFrame, col: str, source: str, now: datetime) -> DataFrame:
-    """A first mark from data already loaded: midnight of its last day."""
+    ``source`` is the source's name, or a column that tells the rows of many
+    sources apart, each of which gets a mark in one pass.
+    """
     return _mark_row(df, F.max(mark_value(df, col)).cast("date").cast("timestamp"), source, now)
 
 
-def next_mark(batch: DataFrame, col: str, source: str, now: datetime) -> DataFrame:
-    """The mark after a batch: its largest value."""
+def next_mark(batch: DataFrame, col: str, source: str | Column, now: datetime) -> DataFrame:
+    """The mark after a batch, its largest value; ``source`` as in ``seed_mark``."""
     return _mark_row(batch, F.max(mark_value(batch, col)).cast("timestamp"), source, now)
 
 

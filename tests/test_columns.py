@@ -172,3 +172,11 @@ def test_intermediate_tables_can_be_dropped(spark):
     assert os.path.exists(path) and intermediates() == before + 1
     assert drop_intermediates(spark, since=before) == 1
     assert not os.path.exists(path) and intermediates() == before
+
+
+def test_a_stretch_of_intermediate_tables_can_be_dropped(spark):
+    before = intermediates()
+    kept = [reliable_checkpoint(spark.range(n)) for n in (1, 2, 3)]
+    assert drop_intermediates(spark, since=before, until=before + 2) == 2
+    assert kept[2].count() == 3 and intermediates() == before + 1
+    assert drop_intermediates(spark, since=before) == 1
