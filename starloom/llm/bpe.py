@@ -24,7 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,25 +129,43 @@ def _cut(
 
 
 def _joined(group: pa.Table, path: str, column: str, out: str, names: list[str]) -> pa.Table:
-    """A text's row from its pieces, whose texts are what their ids spell."""
+    """The rows of a text from its pieces, whose texts are what their ids spell."""
     vocab = byte_vocab(path)
     group = group.sort_by("__bpe_at").combine_chunks()
-    ids = group.column(out).combine_chunks()
+    at = group.column("__bpe_at").to_numpy()
+    n = int((at == 0).sum())  # rows with this text, each with a copy of all pieces
+    ids = group.column(out).combine_chunks().take(pa.array(np.arange(0, len(at), n)))
     flat = ids.flatten().to_numpy()
     begins = np.concatenate(([0], np.cumsum(ids.value_lengths().to_numpy())))
     parts = [flat[a:b].astype(np.uint32) for a, b in zip(begins[:-1], begins[1:], strict=True)]
     pieces = [(vocab.core.decode_bytes(p.tolist()), p) for p in parts]
     text, whole = join_tree(vocab, pieces)
-    row = group.slice(0, 1)
+    rows = group.slice(0, n)
     columns = [
-        _id_lists([whole])
+        _id_lists([whole] * n)
         if c == out
-        else (pa.array([text.decode()]) if c == column else row.column(c))
+        else (pa.array([text.decode()] * n) if c == column else rows.column(c))
         for c in names
     ]
     return pa.table(columns, names=names)
 
 
+def _row_key(docs: DataFrame, column: str) -> Column:
+    """What a row's pieces meet by: its text, its plain other columns, its partition.
+
+    It does not depend on the order of rows, which a task run again behind a
+    shuffle may change. Rows alike in all that share a key: their text is joined
+    once and each of them gets the result.
+    """
+    others = [
+        F.col(f"`{f.name}`")
+        for f in docs.schema.fields
+        if f.name != column and isinstance(f.dataType, T.AtomicType)
+    ]
+    text = F.sha2(F.col(column).cast("binary"), 256)
+    return F.concat_ws("-", text, F.xxhash64(F.lit(0), *others), F.spark_partition_id())
+
+
 def encode(
     docs: DataFrame, path: str, column: str = "text", out: str = "ids", leaf_chars: int = LEAF_CHARS
 ) -> DataFrame:
@@ -164,9 +182,8 @@ def encode(
     short = docs.where(~long_text).mapInArrow(
         partial(_encoded, path=path, column=column, out=out), T.StructType([*schema, ids])
     )
-    # The number is fixed by file and place, so that a task run again gives the same.
-    cut = docs.where(long_text).withColumn("__bpe_row", F.monotonically_increasing_id())
-    key, at = T.StructField("__bpe_row", T.LongType()), T.StructField("__bpe_at", T.LongType())
+    cut = docs.where(long_text).withColumn("__bpe_row", _row_key(docs, column))
+    key, at = T.StructField("__bpe_row", T.StringType()), T.StructField("__bpe_at", T.LongType())
     pieces = cut.mapInArrow(
         partial(_cut, column=column, row="__bpe_row", leaf=leaf_chars),
         T.StructType([*schema, key, at]),

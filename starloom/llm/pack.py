@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.bpe import public_path
-from starloom.llm.files import committed, locate, new_folder, task_number
+from starloom.llm.files import committed, locate, new_folder, task_file, task_number
 from starloom.llm.registry import query, table
 from starloom.llm.text import slices
 from starloom.llm.vocab import word_vocab
@@ -114,7 +114,7 @@ def _write(
     blocks = [len(MAGIC)]
     held: list[np.ndarray] = []
     n_held = 0
-    uri = f"{folder}/shard-{task_number():06d}.bits"
+    uri = task_file(folder, "shard", "bits")
     end = np.array([end_id], np.uint32)
     with committed(uri) as out:
         out.write(MAGIC)
@@ -225,11 +225,18 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def units_with_base(manifest: DataFrame) -> DataFrame:
-    """The manifest with the number of ids before each unit: a window over one
-    row per million ids, never over documents."""
-    order = Window.orderBy("shard", "first_doc").rowsBetween(Window.unboundedPreceding, -1)
-    before: Column = F.coalesce(F.sum("n_ids").over(order), F.lit(0))
-    return manifest.withColumn("base", before)
+    """The manifest with the number of ids before each unit.
+
+    Units are summed within their shard. Only shards, one per task of the write,
+    are summed in one task and broadcast.
+    """
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("shard").orderBy("first_doc").rowsBetween(Window.unboundedPreceding, -1)
+    shards = manifest.groupBy("shard").agg(F.sum("n_ids").alias("_ids"))
+    shards = shards.select("shard", F.coalesce(F.sum("_ids").over(before), F.lit(0)).alias("_before"))
+    inner: Column = F.coalesce(F.sum("n_ids").over(within), F.lit(0))
+    placed = manifest.withColumn("_inner", inner).join(F.broadcast(shards), "shard")
+    return placed.select(*manifest.columns, (F.col("_before") + F.col("_inner")).alias("base"))
 
 
 def read_ids(manifest: DataFrame) -> DataFrame:

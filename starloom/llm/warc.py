@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.files import committed, locate, new_folder, task_number
+from starloom.llm.files import committed, locate, new_folder, task_file, task_number
 from starloom.llm.pack import shuffle_parts
 from starloom.llm.registry import query, table
 from starloom.llm.text import slices
@@ -108,7 +108,7 @@ CATALOGUE = (
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, date: str) -> Iterator[pa.RecordBatch]:
     number = task_number()
-    uri = f"{folder}/bundle-{number:06d}.warc.zst"
+    uri = task_file(folder, "bundle", "warc.zst")
     packer = zstandard.ZstdCompressor(level=LEVEL)
     rows: list[tuple] = []
     sizes: list[tuple[int, int]] = []
@@ -186,7 +186,8 @@ def write_bundles(pages: DataFrame, least: int = 0, date: str = "2024-01-01T00:0
     A NULL html is an empty payload, a NULL url an empty one. Rows without a
     page_id are named after their place; in a group of equal payloads they
     revisit the largest page_id. Rows that repeat the largest page_id with an
-    equal payload are all responses. An empty table writes no records.
+    equal payload are all responses. Rows that repeat a page_id share its record
+    identifier; the catalogue has a place for each. An empty table writes no records.
     """
     folder = new_folder(pages.sparkSession, "warc")
     return reliable_checkpoint(

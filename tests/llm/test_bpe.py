@@ -65,6 +65,25 @@ def test_encode_and_decode_keep_rows_and_columns(library, docs, corpus, no_docs)
     assert bpe.encode(no_docs, BYTE).count() == 0
 
 
+def test_pieces_meet_whatever_the_order_of_rows(spark, library):
+    """Keys of pieces do not depend on the order in which a task meets its rows, and
+    rows that are alike, or differ in a column that has no hash only, all come back."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("abc de'", k=300)) for _ in range(5)]
+    rows = [(k % 3, texts[k % 5], {"n": k // 15}) for k in range(60)]
+    want = sorted((a, t, m["n"]) for a, t, m in rows)
+    encoded = dict(zip(texts, expected(library, BYTE, texts), strict=True))
+    keys = []
+    for part in (rows, rows[::-1]):
+        df = spark.createDataFrame(part, "doc_id long, text string, tag map<string, int>").coalesce(1)
+        out = bpe.encode(df, BYTE, leaf_chars=50).collect()
+        assert sorted((r.doc_id, r.text, r.tag["n"]) for r in out) == want
+        assert all(r.ids == encoded[r.text] for r in out)
+        keyed = df.withColumn("key", bpe._row_key(df, "text")).collect()
+        keys.append({(r.doc_id, r.text): r.key for r in keyed})
+    assert keys[0] == keys[1] and len(set(keys[0].values())) == 15
+
+
 def test_query_digests(spark, library, tmp_path, docs, corpus):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     from starloom.llm.registry import QUERIES
@@ -111,3 +130,9 @@ def test_shards_in_order_of_doc_id(library, spark, docs, corpus, no_docs):
     one = shard.read(int(starts[1]), int(starts[2])).tolist()
     assert one == next(r.ids for r in rows if r.doc_id == (int(ids[1]) if ids[0] or rows[0].doc_id is None else None))
     assert pack.read_ids(pack.write_ids(no_docs, WORD, shards=2)).count() == 0
+
+
+def test_ids_before_each_unit_are_summed_within_shards(spark):
+    units = [(2, "c", 0, 1, 5), (0, "a", 0, 2, 7), (0, "a", 2, 1, 1), (1, "b", 0, 4, 2), (1, "b", 4, 1, 9)]
+    got = pack.units_with_base(spark.createDataFrame(units, pack.MANIFEST)).collect()
+    assert {(r.shard, r.first_doc): r.base for r in got} == {(0, 0): 0, (0, 2): 7, (1, 0): 8, (1, 4): 10, (2, 0): 19}

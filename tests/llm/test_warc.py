@@ -1,12 +1,16 @@
 import base64
 import collections
 import hashlib
+from functools import partial
 
 import pyarrow.fs as fs
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from starloom.llm import warc
+from starloom.llm.files import locate
+from starloom.session import drop_intermediates, intermediates
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +62,34 @@ def test_a_bundle_is_plain_zstandard_and_seekable(pages, monkeypatch):
 
 def test_no_pages(pages):
     assert warc.read_records(warc.write_bundles(pages[1].where("page_id < 0"))).count() == 0
+
+
+def test_a_task_that_runs_twice_leaves_its_first_file_whole(spark, pages, monkeypatch):
+    """A second attempt, with its rows in another order, does not touch what the
+    catalogue of the first one points to."""
+    folder = warc.new_folder(spark, "warc")
+    described = warc.with_revisits(pages[1]).coalesce(1)
+    first, second = (
+        df.mapInArrow(partial(warc._write, folder=folder, date="d"), warc.CATALOGUE)
+        for df in (described.sortWithinPartitions("html"), described.sortWithinPartitions(F.desc("html")))
+    )
+    catalogue = spark.createDataFrame(first.collect(), warc.CATALOGUE)
+    assert {r.bundle for r in second.collect()}.isdisjoint({r.bundle for r in catalogue.collect()})
+    got = [
+        (r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+        for r in warc.read_records(catalogue).collect()
+    ]
+    assert sorted(got, key=str) == sorted(expected(pages[0], 0), key=str)
+
+
+def test_bundles_go_with_the_intermediate_tables(spark, pages):
+    before = intermediates()
+    uris = {r.bundle for r in warc.write_bundles(pages[1]).collect()}
+    drop_intermediates(spark, since=before)
+    for uri in uris:
+        system, path = locate(uri)
+        assert system.get_file_info(path).type == fs.FileType.NotFound
+
+
+def test_spark_names_of_s3_are_known():
+    assert locate("s3a://bucket/a/b?region=x")[1] == "bucket/a/b"
