@@ -7,9 +7,10 @@ document's score is the mean, weighted by length in bytes, of its lines'
 forward-backward marginals of being good.
 
 The model is fitted by gradient ascent on at most ``SAMPLE`` labelled documents,
-those with the smallest hashes of their ids, of at most ``SAMPLE_CHARS``
-characters; the driver gets their lines' features, not their texts. Every
-document is scored, whole.
+those with the smallest hashes of their ids, however long. Of one with more than
+``SAMPLE_LINES`` lines the driver gets as many neighbouring ones, from a place
+that its id picks; features are those in the whole text. The driver gets
+features, not texts. Every document is scored, whole.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from starloom.llm.registry import query, table
 from starloom.llm.text import SEPARATOR, lines, owner, per_text, repeats, slices, utf8, words
 
 SAMPLE = 6000
-SAMPLE_CHARS = 8_000
+SAMPLE_LINES = 128
 STEPS = 400
 RATE = 0.1
 DECAY = 1e-5
@@ -102,6 +104,20 @@ def with_neighbours(own: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def log_odds(own: np.ndarray, first: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """``with_neighbours(own, first) @ weights`` without the wide matrix."""
+    n, k = own.shape
+    mine, before, after = (own @ weights[:-1].reshape(3, k).T).T
+    out = mine + weights[-1]
+    begins = np.zeros(n + 1, bool)
+    begins[first] = True
+    if n > 1:
+        inner = ~begins[1:n]
+        out[1:] += before[:-1] * inner
+        out[:-1] += after[1:] * inner
+    return out
+
+
 def marginals(
     good: np.ndarray, first: np.ndarray, ties: np.ndarray, share: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +163,7 @@ class Model:
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         own, size, first = line_features(raw, offsets)
-        p, _ = marginals(with_neighbours(own, first) @ self.weights, first, self.ties)
+        p, _ = marginals(log_odds(own, first, self.weights), first, self.ties)
         weight = per_text(size, first)
         mean = per_text(p * size, first) / np.maximum(weight, 1)
         return np.clip(np.where(weight > 0, mean, self.empty), 0, 1)
@@ -183,12 +199,24 @@ def fit_crf(own: np.ndarray, first: np.ndarray, labels: np.ndarray) -> Model:
     return Model(weights, ties, 0.0)
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def window(doc_id: int, n_lines: int, most: int) -> int:
+    """The first of the ``most`` neighbouring lines that stand for a text of more."""
+    return crc32(str(doc_id).encode()) % (n_lines - most + 1) if n_lines > most else 0
+
+
+def _featured(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             own, _, first = line_features(*utf8(part.column("text")))
-            flat = pa.array(own.reshape(-1).astype(np.float32))
-            lists = pa.ListArray.from_arrays(pa.array(first * FEATURES, pa.int32()), flat)
+            n_lines = np.diff(first)
+            ids = part.column("doc_id").to_pylist()
+            at = [window(d, int(n), most) for d, n in zip(ids, n_lines, strict=True)]
+            size = np.minimum(n_lines, most)
+            ends = np.cumsum(size)
+            rows = np.arange(int(size.sum())) + np.repeat(first[:-1] + at - (ends - size), size)
+            flat = pa.array(own[rows].reshape(-1).astype(np.float32))
+            begins = np.concatenate(([0], ends)) * FEATURES
+            lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), lists], ["doc_id", "quality", "features"])
 
 
@@ -198,10 +226,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(text.cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES
+) -> Model:
     """Fit on ``docs`` (``doc_id, text``) with ``labels`` (``doc_id, quality``) outside
-    the held-out fifth. NULL labels and ids are left out; of a doc_id with several
-    labels the smallest counts; repeated rows count again."""
+    the held-out fifth. NULL labels, ids and texts are left out; of a doc_id with
+    several labels the smallest counts, and of one with several rows the one whose
+    features have the smallest hash. So the driver gets at most ``sample`` times
+    ``sample_lines`` lines."""
     known = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
         .where(~held_out(F.col("doc_id")))
@@ -213,9 +245,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(known), "doc_id")  # `sample` rows at most
-        .where(F.length("text") <= SAMPLE_CHARS)
-        .mapInArrow(_featured, "doc_id bigint, quality int, features array<float>")
-        .orderBy("doc_id", F.hash("features"))
+        .where("text is not null")
+        .mapInArrow(
+            partial(_featured, most=sample_lines), "doc_id bigint, quality int, features array<float>"
+        )
+        .groupBy("doc_id")
+        .agg(
+            F.first("quality").alias("quality"),  # one label per doc_id
+            F.min_by("features", F.xxhash64("features")).alias("features"),
+        )
+        .orderBy("doc_id")
         .toArrow()
     )
     features = rows.column("features").combine_chunks()

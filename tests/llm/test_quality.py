@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import line_crf, quality_rules
 from tests.llm.conftest import split_words
@@ -106,6 +107,35 @@ def test_held_out_documents_are_told_apart(spark):
     assert np.array_equal(model.weights, again.weights)
 
 
+def test_log_odds_are_those_of_neighbours():
+    rng = np.random.default_rng(6)
+    for _ in range(10):
+        first = np.concatenate(([0], np.cumsum(rng.integers(0, 5, 6))))
+        own = rng.normal(size=(first[-1], line_crf.FEATURES))
+        weights = rng.normal(size=3 * line_crf.FEATURES + 1)
+        want = line_crf.with_neighbours(own, first) @ weights
+        assert np.allclose(line_crf.log_odds(own, first, weights), want)
+
+
+def test_long_texts_are_learned_from_too(spark):
+    """Bad texts of these labels are all long: a cut by length would hide them."""
+    rows = []
+    for k in range(200):
+        line = "A plain sentence of some words."
+        text = "\n".join([line.upper() + " $$$"] * 3000) if k % 2 else "\n".join([line] * 5)
+        rows.append((k, text, 1 - k % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = line_crf.train(df.select("doc_id", "text"), df.select("doc_id", "quality"), sample_lines=20)
+    held = line_crf.score(df, model).where(line_crf.held_out(F.col("doc_id"))).collect()
+    assert all((r.score >= line_crf.PREDICT_AT) == r.quality for r in held)
+    again = line_crf.train(
+        df.select("doc_id", "text").union(df.select("doc_id", "text")),
+        df.select("doc_id", "quality"),
+        sample_lines=20,
+    )
+    assert np.array_equal(model.weights, again.weights)  # repeated rows bring no more lines
+
+
 def test_scores_of_odd_texts_and_unlabelled_corpora(docs, corpus, labels, no_docs):
     model = line_crf.train(docs, labels)
     rows = {r.doc_id: r.score for r in line_crf.score(docs, model).collect()}
