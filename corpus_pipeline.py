@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import bpe, decontaminate, near_dedup, quality_rules, secrets
 from starloom.llm.registry import table
-from starloom.session import reliable_checkpoint
+from starloom.session import drop_intermediates, intermediates, reliable_checkpoint
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to the table ``documents`` of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages, applied to the table ``documents`` of ``sf_dir``.
+
+    Once a stage is stored, what it wrote on the way and the stage before go; the
+    last stage's table stays. No other thread may store tables meanwhile.
+    """
+    docs, start = table(spark, sf_dir, "documents"), intermediates()
     for _, stage in STAGES:
         docs = reliable_checkpoint(stage(spark, docs, sf_dir))
+        drop_intermediates(spark, since=start, until=intermediates() - 1)
     return docs
