@@ -4,6 +4,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from starloom.llm.registry import ORACLES, QUERIES
+from starloom.session import intermediates
 from tools.check_queries import rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,7 +27,9 @@ def test_query_against_its_sql(spark, name):
 
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    before = intermediates()
     out = corpus_pipeline.run(spark, FOLDER)
+    assert intermediates() == before + 1  # the result alone is left
     assert out.columns == [*docs.columns, "ids"]
     ids = [r.doc_id for r in out.collect()]
     assert len(ids) == len(set(ids)) and 0 < len(ids) < docs.count()
