@@ -197,9 +197,10 @@ def _left_out(members: DataFrame, found: DataFrame, sets: DataFrame) -> DataFram
     others. Shingles are put in order of rarity among them. With ``|a| <= |b|``
     a linked pair shares at least ``170/185 |a|`` and ``85/100 |b|`` shingles, so
     the rarest ``|a| - ceil(170/185 |a|) + 1`` of ``a`` and the rarest ``|b| -
-    ceil(85/100 |b|) + 1`` of ``b`` have one in common. Edits make rare
-    shingles, so texts that differ by more do not meet: no link is lost, and
-    no group is paired off as a whole.
+    ceil(85/100 |b|) + 1`` of ``b`` have one in common, and the first of these
+    stands early enough in both for their sizes. Edits make rare shingles, so
+    texts that differ by more do not meet: no link is lost, and no group is
+    paired off as a whole.
     """
     placed = members.join(found, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
@@ -223,25 +224,41 @@ def _left_out(members: DataFrame, found: DataFrame, sets: DataFrame) -> DataFram
     prefix = reliable_checkpoint(
         ranked.where(f"place <= n - ceil({SHARE} * n / 100) + 1 and often > 1")
     )
-    a = prefix.where(f"place <= n - ceil({2 * SHARE} * n / {100 + SHARE}) + 1")
+    side = prefix.select("s", "node", "component", "n", "place")
+    a = side.toDF("s", "a", "c_a", "n_a", "at_a")
+    b = side.toDF("s", "b", "c_b", "n_b", "at_b")
     met = reliable_checkpoint(_meetings(prefix))
-    side = ["s", "node", "n", "component", "place"]
-    a = a.select(side).toDF("s", "a", "n_a", "c_a", "at_a").join(met, ["s", "c_a"])
-    b = prefix.select(side).toDF("s", "b", "n_b", "c_b", "at_b")
-    need = f"ceil({SHARE} * (n_a + n_b) / {100 + SHARE})"
     return (
-        a.join(b, ["s", "c_b"])
-        .where(f"100 * n_a >= {SHARE} * n_b and (n_a < n_b or n_a = n_b and a < b)")
-        .where(f"at_a <= n_a - {need} + 1 and at_b <= n_b - {need} + 1")
+        a.join(met, ["s", "c_a", "n_a"])
+        .where(_early("a"))
+        .join(b, ["s", "c_b", "n_b"])
+        .where(_early("b"))
         .select("a", "b")
         .distinct()
     )
 
 
+def _early(side: str) -> str:
+    """Whether a shingle stands early enough in a set to be the first that a
+    linked pair of sets of ``n_a`` and ``n_b`` shingles has in common."""
+    return f"at_{side} <= n_{side} - ceil({SHARE} * (n_a + n_b) / {100 + SHARE}) + 1"
+
+
 def _meetings(prefix: DataFrame) -> DataFrame:
-    """``(s, c_a, c_b)``: the different components whose prefixes hold a shingle."""
-    at = reliable_checkpoint(prefix.select("s", "component").distinct())
-    return at.toDF("s", "c_a").join(at.toDF("s", "c_b"), "s").where("c_a <> c_b")
+    """``(s, c_a, n_a, c_b, n_b)``: sets of ``n_a`` shingles of one component and of
+    ``n_b`` of another that some pair may be linked by shingle ``s``.
+
+    The sets of one size in a component count once, with the earliest place of
+    the shingle; so every row stands for at least one pair that has to be looked at.
+    """
+    at = reliable_checkpoint(prefix.groupBy("s", "component", "n").agg(F.min("place").alias("at")))
+    a, b = at.toDF("s", "c_a", "n_a", "at_a"), at.toDF("s", "c_b", "n_b", "at_b")
+    return (
+        a.join(b, "s")
+        .where("n_a < n_b and c_a <> c_b or n_a = n_b and c_a < c_b")
+        .where(f"100 * n_a >= {SHARE} * n_b and {_early('a')} and {_early('b')}")
+        .select("s", "c_a", "n_a", "c_b", "n_b")
+    )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

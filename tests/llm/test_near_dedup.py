@@ -77,12 +77,35 @@ def test_a_large_component_is_not_paired_off_for_an_outsider(spark, monkeypatch)
     assert len({c for _, c in want.values()}) > 1
     (prefix,) = met
     pairs = searched(prefix)
-    of = {(r.s, r.component): r["count"] for r in prefix.groupBy("s", "component").count().collect()}
-    joined = sum(of[r.s, r.c_a] * of[r.s, r.c_b] for r in pairs.collect())
+    of = {
+        (r.s, r.component, r.n): r["count"]
+        for r in prefix.groupBy("s", "component", "n").count().collect()
+    }
+    joined = sum(of[r.s, r.c_a, r.n_a] * of[r.s, r.c_b, r.n_b] for r in pairs.collect())
     every = sum(r["count"] ** 2 for r in prefix.groupBy("s").count().collect())
     assert joined <= every / 10
 
 
+def test_meetings_of_outsiders_stand_for_pairs_that_may_be_linked(spark):
+    rng = np.random.default_rng(3)
+    held = [
+        (node, node // 7 if node < 70 else node, int(n), int(place), int(s))
+        for node in range(200)
+        for n in [rng.integers(40, 60)]
+        for place, s in enumerate(rng.permutation(30)[:9], 1)
+    ]
+    prefix = spark.createDataFrame(held, "node long, component long, n int, place int, s long")
+    got = {tuple(r) for r in near_dedup._meetings(prefix).collect()}
+    want = set()
+    for _, c, n, at, s in held:
+        for _, d, m, to, t in held:
+            need = -(-85 * (n + m) // 185)
+            if s == t and (n < m and c != d or n == m and c < d) and 100 * n >= 85 * m:
+                if at <= n - need + 1 and to <= m - need + 1:
+                    want.add((s, c, n, d, m))
+    assert got == want and got
+
+
 def test_rows_without_id_repeated_rows_and_no_rows(spark, no_docs):
     rows = [(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "A B C D E F"), (3, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
