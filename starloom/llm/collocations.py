@@ -6,7 +6,7 @@ phrases of two languages differ.
 
 1. Each task sums up equal fingerprints and packs what it has, sorted, into one
    row per range of fingerprints. Ranges are as many as the input's bytes ask for;
-   their rows are merged by numpy, range by range. Pointers to occurrences are not
+   their rows are merged by numpy, a stretch of a range at a time. Pointers to occurrences are not
    shuffled, they would double its bytes: step 3 finds every place again.
 2. Fingerprints met ``least`` times or more go into a bit filter of at
    most ``FILTER_WORDS`` words. It never misses one, so a full filter costs time
@@ -41,8 +41,11 @@ TOP = 2000  # phrases per language
 INSIDE = 50  # per cent of a phrase's occurrences within a longer one that drop it
 
 RANGE_BYTES = 8 << 20  # of text per range of fingerprints
-PART_BYTES = 2 << 20  # of text that numpy handles at once
+PART_BYTES = 1 << 20  # of text that numpy handles at once
 TASK_GRAMS = 3_000_000  # n-grams that a task sums up at once
+MERGE_GRAMS = 500_000  # of a range, merged at once
+ROW_BYTES = 2 << 20  # of packed n-grams in a batch of rows
+WORD_BYTES = 1 << 18  # of words compared at once
 FILTER_WORDS = 1 << 22  # of 64 bits: at most 32 MB go to each task
 KEYS_A_WORD = 4
 
@@ -95,7 +98,7 @@ class Grams:
         text = np.searchsorted(offsets, self.starts, side="right") - 1
         self.tongue = tongue[text]
         # a word's piece: breaks before it, and one more for each text
-        self.piece = np.cumsum(ends_piece)[self.starts] + text if n else text
+        self.piece = np.searchsorted(np.flatnonzero(ends_piece), self.starts) + text
         hashes = hash_runs(raw, self.starts, self.ends, _VALUE) if n else np.zeros(0, np.uint64)
         self.words = mix(hashes ^ seeds[self.tongue])
         up, self.down = _powers(len(self.words))
@@ -123,13 +126,19 @@ class Grams:
         _, first, number = np.unique(self.words, return_index=True, return_inverse=True)
         size, like = self.ends - self.starts, first[number]
         wrong = (size != size[like]) | (self.tongue != self.tongue[like])
-        begins = np.cumsum(size) - size
-        right = np.arange(size.sum()) - np.repeat(begins, size)
-        own, other = np.repeat(self.starts, size), np.repeat(self.starts[like], size)
-        other = np.minimum(other + right, max(0, len(self.raw) - 1))
-        differ = self.raw[own + right] != self.raw[other] if len(size) else np.zeros(0, bool)
-        if differ.any():
-            wrong |= np.add.reduceat(differ, begins, dtype=np.int64) > 0
+        upto = np.cumsum(size)
+        a = 0
+        while a < len(size):  # some words at a time: an index per byte takes eight bytes
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] - size[a] + WORD_BYTES, side="right")))
+            some = size[a:b]
+            begins = np.cumsum(some) - some
+            right = np.arange(some.sum()) - np.repeat(begins, some)
+            own = np.repeat(self.starts[a:b], some) + right
+            other = np.minimum(np.repeat(self.starts[like[a:b]], some) + right, len(self.raw) - 1)
+            differ = self.raw[own] != self.raw[other]
+            if differ.any():
+                wrong[a:b] |= np.add.reduceat(differ, begins, dtype=np.int64) > 0
+            a = b
         extra: dict[tuple[int, bytes], int] = {}
         first = list(first)
         for k in np.flatnonzero(wrong):
@@ -183,53 +192,75 @@ def _summed(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], ranges: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Rows ``(range, grams)`` of all n-grams of a task."""
+    """Rows ``(range, grams)`` of all n-grams of a task.
+
+    A task holds ``TASK_GRAMS`` fingerprints, whatever its texts are, and no copy
+    of them: they are sorted in place and counted range by range.
+    """
     width = -(-(1 << 64) // ranges)
     edges = np.array([min(k * width, (1 << 64) - 1) for k in range(1, ranges)], np.uint64)
 
-    def rows(held: list[np.ndarray]) -> pa.RecordBatch:
-        prints = np.concatenate(held)
-        held.clear()
+    def rows(prints: np.ndarray) -> Iterator[pa.RecordBatch]:
         prints.sort()
-        first = np.flatnonzero(np.concatenate(([True], prints[1:] != prints[:-1])))
-        counts = np.diff(first, append=len(prints))
-        prints = prints[first]
         cuts = [0, *np.searchsorted(prints, edges).tolist(), len(prints)]
-        some = [k for k in range(ranges) if cuts[k + 1] > cuts[k]]
-        data = [pack(prints[cuts[k] : cuts[k + 1]], counts[cuts[k] : cuts[k + 1]]) for k in some]
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(data, pa.binary())], ["range", "grams"])
-
-    held: list[np.ndarray] = []
-    n = 0
+        some, data, size = [], [], 0
+        for k in range(ranges):
+            own = prints[cuts[k] : cuts[k + 1]]
+            if len(own):
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                some.append(k)
+                data.append(pack(own[first], np.diff(first, append=len(own))))
+                size += len(data[-1])
+            if some and (size >= ROW_BYTES or k == ranges - 1):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some, pa.int64()), pa.array(data, pa.binary())], ["range", "grams"]
+                )
+                some, data, size = [], [], 0
+
+    held, n = np.empty(TASK_GRAMS, np.uint64), 0
     for _, grams in _parts(batches, bits):
         for k in range(1, LONGEST + 1):
-            held.append(grams.prints(k, grams.places(k)))
-            n += len(held[-1])
-        if n >= TASK_GRAMS:
-            yield rows(held)
-            n = 0
+            new = grams.prints(k, grams.places(k))
+            while len(new):
+                some = min(len(new), len(held) - n)
+                held[n : n + some] = new[:some]
+                new, n = new[some:], n + some
+                if n == len(held):
+                    yield from rows(held)
+                    n = 0
     if n:
-        yield rows(held)
+        yield from rows(held[:n])
 
 
 def _frequent(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Fingerprints met ``least`` times; rows come sorted by range."""
 
-    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        prints, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        prints, counts = _summed(prints, counts)
-        return pa.RecordBatch.from_arrays([pa.array(prints[counts >= least].view(np.int64))], ["print"])
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """Of one range, a stretch of fingerprints after the other."""
+        low, high = min(int(x[0]) for x, _ in held), max(int(x[-1]) for x, _ in held)
+        stretches = -(-sum(len(x) for x, _ in held) // MERGE_GRAMS)
+        step = (high - low) // stretches + 1
+        at = [0] * len(held)
+        for k in range(1, stretches + 1):
+            end = np.uint64(min(low + k * step, high))
+            upto = [int(np.searchsorted(x, end, side="right" if k == stretches else "left")) for x, _ in held]
+            prints = np.concatenate([x[i:j] for (x, _), i, j in zip(held, at, upto, strict=True)])
+            counts = np.concatenate([x[i:j] for (_, x), i, j in zip(held, at, upto, strict=True)])
+            at = upto
+            if len(prints):
+                prints, counts = _summed(prints, counts)
+                yield pa.RecordBatch.from_arrays([pa.array(prints[counts >= least].view(np.int64))], ["print"])
 
     now, held = None, []
     for batch in batches:
         for k, data in zip(batch.column("range").to_pylist(), batch.column("grams"), strict=True):
             if k != now and held:
-                yield merged(held)
+                yield from merged(held)
+                held.clear()
             now = k
-            held.append(unpack(data.as_py()))
+            held.append(unpack(data.as_buffer()))
     if held:
-        yield merged(held)
+        yield from merged(held)
 
 
 def _marks(prints: np.ndarray) -> np.ndarray:
@@ -320,7 +351,8 @@ def phrase_counts(docs: DataFrame, *, least: int = LEAST, bits: int = 64) -> Dat
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-size // RANGE_BYTES))
     sketched = docs.mapInArrow(partial(_sketch, ranges=ranges, bits=bits), "range bigint, grams binary")
-    dealt = sketched.repartition(ranges, "range").sortWithinPartitions("range")
+    # a range per task: hashing would lay several into one
+    dealt = sketched.repartitionById(ranges, F.col("range").cast("int")).sortWithinPartitions("range")
     prints = reliable_checkpoint(dealt.mapInArrow(partial(_frequent, least=least), "print bigint"))
     words, shift = _filter(prints)
     kept = spark.sparkContext.broadcast(words)

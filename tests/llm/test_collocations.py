@@ -124,3 +124,53 @@ def test_scores_past_64_bits(spark):
     df = spark.createDataFrame([(big, big + 7, big + 10)], "a long, l long, r long")
     got = df.select(c._cut("l", "r").alias("s")).first().s
     assert got == 1000000 * big * big // ((big + 7) * (big + 10))
+
+
+def _peak(run):
+    """What ``run`` returns, and the bytes of numpy and Python that it held at most."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_task_holds_its_fingerprints_once(monkeypatch):
+    """Neither a full task nor the merge of a range holds several copies; rows come in small batches."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(c, "PART_BYTES", 1 << 16)
+    monkeypatch.setattr(c, "TASK_GRAMS", 1_000_000)
+    monkeypatch.setattr(c, "MERGE_GRAMS", 50_000, raising=False)
+    monkeypatch.setattr(c, "ROW_BYTES", 1 << 20, raising=False)
+    number = np.random.default_rng(5).integers(0, 200_000, (900, 800))
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(map(str, r)) for r in number], "lang": ["en"] * 900})
+    c._powers(1 << 16)
+    c._sketch(iter([batch.slice(0, 1)]), 40, 64).__next__()
+
+    largest, peak = _peak(lambda: max(b.nbytes for b in c._sketch(iter([batch]), 40, 64)))
+    assert peak < 2 * 8 * c.TASK_GRAMS + (6 << 20) and largest < 2 << 20
+
+    packed = [d for b in c._sketch(iter([batch]), 1, 64) for d in b["grams"].to_pylist()]
+    grams = [c.unpack(d) for d in packed]
+    want = Counter()
+    for prints, counts in grams:
+        want.update(dict(zip(prints.tolist(), counts.tolist(), strict=True)))
+    rows = pa.RecordBatch.from_pydict({"range": [0] * len(packed), "grams": packed})
+    got, peak = _peak(lambda: [p for b in c._frequent(iter([rows]), 4) for p in b["print"].to_pylist()])
+    assert sorted(x % (1 << 64) for x in got) == sorted(k for k, n in want.items() if n >= 4) and len(got) > 1000
+    assert peak < 28 * sum(len(p) for p, _ in grams)
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 18])
+def test_words_compared_in_stretches(monkeypatch, size):
+    """However many words are compared at once, those that differ are found."""
+    monkeypatch.setattr(c, "WORD_BYTES", size)
+    monkeypatch.setattr(c, "hash_runs", lambda raw, starts, ends, values: np.ones(len(starts), np.uint64))
+    raw = np.frombuffer(b"ab cd abc ab cd abc x " + b"y" * 40, np.uint8)
+    g = c.Grams(raw, np.array([0, len(raw)]), np.zeros(1, int), np.zeros(1, np.uint64))
+    number, first = g.numbers()
+    words = [raw[a:b].tobytes() for a, b in zip(g.starts, g.ends, strict=True)]
+    assert [words[first[n]] for n in number] == words and len(set(number.tolist())) == 5
