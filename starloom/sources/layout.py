@@ -14,6 +14,8 @@ from starloom.sources.sinks import replace_snapshot, table_files
 #: Bits of a column's approximate rank, and the error of its borders.
 RANK_BITS = 8
 _ERROR = 1e-3
+#: Rows that a task sorts into one file, by which large tables get more files.
+FILE_ROWS = 1_000_000
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -42,12 +44,16 @@ def _rank(value: Column, borders: Sequence[float]) -> Column:
 def clustered(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     """``df`` dealt and sorted so that each file spans little of every one of ``columns``.
 
+    There are ``files`` files, or more where one would get over ``FILE_ROWS`` rows: a
+    task sorts a file's rows, so what it holds does not grow with the table.
+
     Each column's approximate rank (``RANK_BITS`` bits, by quantiles: one pass for
     all, some hundred numbers to the driver) gives its bits in turn to one number,
     by which rows are range-partitioned: a filter on any of the columns then skips
     files by their least and largest values. Columns are numbers, dates, timestamps
     or texts. NULLs lie with the least values; no row is changed, lost or added.
     """
+    files = max(files, -(-df.count() // FILE_ROWS))
     numbers = df.select(*[_number(df, c).alias(c) for c in columns])
     shares = [k / (1 << RANK_BITS) for k in range(1, 1 << RANK_BITS)]
     borders = numbers.approxQuantile(list(columns), shares, _ERROR)

@@ -7,7 +7,8 @@ replaces and a failed write leaves the old state in place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 from urllib.parse import unquote
 from uuid import uuid4
@@ -30,6 +31,28 @@ def _folder(value: str | None) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
 
+#: Partitions that a task writes side by side; it sorts only the rows of others.
+_OPEN_FILES = 16
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes in which tasks do not sort their rows by partition first.
+
+    Rows come dealt by partition or are a batch of one, so a task has few partitions;
+    a sort would hold all its rows. A session's own setting is left as it is.
+    """
+    if int(spark.conf.get(_WRITERS, "0")) > 0:
+        yield
+        return
+    spark.conf.set(_WRITERS, str(_OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_WRITERS)
+
+
 def _literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -85,9 +108,10 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     # Column metadata and nullability stay out of the catalog.
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     if partition_by:
-        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(
-            *partition_by
-        ).parquet(path)
+        with _unsorted(spark):
+            df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(
+                *partition_by
+            ).parquet(path)
     else:
         df.write.parquet(path)
     if spark.catalog.tableExists(table):
@@ -179,9 +203,10 @@ def replace_partitions(df: DataFrame, table: str, touched: DataFrame | None = No
         raise ValueError(f"{table} is not partitioned")
     schema = spark.table(table).schema
     path = _snapshot_path(spark, table)
-    df.select(*schema.names).hint("rebalance", *[F.col(k) for k in keys]).write.partitionBy(
-        *keys
-    ).parquet(path)
+    with _unsorted(spark):
+        df.select(*schema.names).hint("rebalance", *[F.col(k) for k in keys]).write.partitionBy(
+            *keys
+        ).parquet(path)
     _swap(spark, table, path, schema, _values(touched, keys) if touched is not None else set())
 
 
@@ -196,7 +221,8 @@ def replace_snapshot(df: DataFrame, table: str, specs: set[Spec]) -> None:
     path = _snapshot_path(spark, table)
     writer = df.select(*schema.names).write
     if keys:
-        writer.partitionBy(*keys).parquet(path)
+        with _unsorted(spark):
+            writer.partitionBy(*keys).parquet(path)
         _swap(spark, table, path, schema, specs)
     else:
         writer.parquet(path)
@@ -251,7 +277,8 @@ def insert_into(df: DataFrame, table: str) -> None:
     names = df.sparkSession.table(table).columns
     if sorted(names) != sorted(df.columns):
         raise ValueError(f"columns {df.columns} do not match {table} {names}")
-    df.select(*names).write.insertInto(table)
+    with _unsorted(df.sparkSession):
+        df.select(*names).write.insertInto(table)
 
 
 def append(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starloom.sources import layout
 from starloom.sources.layout import bins, clustered, compact
 from starloom.sources.run_log import RunLog
-from starloom.sources.sinks import append, ensure_table, replace_table, table_files, vacuum
+from starloom.sources.sinks import append, ensure_table, replace_partitions, replace_table, table_files, vacuum
 
 
 def test_filters_on_either_column_skip_files(spark, tmp_path):
@@ -38,6 +38,16 @@ def test_filters_on_either_column_skip_files(spark, tmp_path):
     assert clustered(df.limit(0), ["a", "c"], 4).count() == 0
 
 
+def test_more_files_for_more_rows(spark, monkeypatch):
+    """A task sorts a bounded number of rows, however many the table has."""
+    monkeypatch.setattr(layout, "FILE_ROWS", 500, raising=False)
+    df = spark.range(0, 20_000, numPartitions=4).select("id", (F.col("id") * 7919 % 10007).alias("a"))
+    for rows, least in ((20_000, 40), (1_000, 8)):
+        dealt = clustered(df.where(F.col("id") < rows), ["id", "a"], 8)
+        sizes = [r[0] for r in dealt.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == rows and len(sizes) <= least and max(sizes) <= 2 * rows / least, sizes
+
+
 def test_bins_hold_what_fits():
     files = [("a", 70), ("b", 60), ("c", 40), ("d", 30), ("e", 500)]
     assert bins(files, 100) == [["e"], ["a", "d"], ["b", "c"]]
@@ -135,3 +145,20 @@ def test_the_count_is_no_second_pass(spark, db):
     df = spark.range(1000).mapInArrow(mark, "id long")
     assert RunLog(spark, "runs", "r").write("s", df, lambda d: d.write.saveAsTable("w")) == 1000
     assert seen.value == 1000
+
+
+def test_writes_by_partition_hold_no_sorted_rows(spark, db):
+    """Tasks write their few partitions side by side; the session's setting comes back."""
+    df = spark.range(0, 1_000, numPartitions=4).select("id", (F.col("id") % 40).cast("string").alias("p"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    known = store.executionsList().size()
+    replace_table(df, "t", ["p"])
+    append(df, "t")
+    replace_partitions(df.where("p < '2'"), "t")
+    compact(spark, "t")
+    ran = [store.executionsList().apply(k).physicalPlanDescription() for k in range(known, store.executionsList().size())]
+    writes = [p for p in ran if "InsertIntoHadoopFsRelationCommand" in p]
+    assert len(writes) >= 4 and not [p for p in writes if "Sort" in p]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    want = df.where("p < '2'").unionAll(df.where("p >= '2'")).unionAll(df.where("p >= '2'"))
+    assert state(spark, "t") == sorted(map(tuple, want.collect()), key=str)
