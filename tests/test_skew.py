@@ -81,3 +81,10 @@ def test_hot_text_is_split_when_categorized(spark, skewed):
     count, plan = executed(categorize(texts, "text", mapping))
     assert count == N
     assert "skew=true" in plan, plan[:3000]
+
+
+def test_rows_are_not_shuffled_for_few_repeated_keys(spark):
+    """Their size is known before the rows are read, so these stay where they are."""
+    df = spark.range(0, 5_000, numPartitions=4).select((F.col("id") % 4_990).alias("k"), "id")
+    count, plan = executed(duplicate_rows(df, ["k"]))
+    assert count == 20 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
